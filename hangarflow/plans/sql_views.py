@@ -72,3 +72,22 @@ VIEWS = {
     "taxonomy": ("", """SELECT DISTINCT p_type AS part_category, 'component-' || lower(p_type) AS component_type
         FROM part WHERE p_type NOT IN ('PROMO', 'SMALL')"""),
 }
+
+VIEWS["std"] = ("raw_text", r"""SELECT id, aircraft_id, upper(regexp_replace(trim(sensor_id), '[\s_./-]+', '-', 'g')) AS sensor_id, sensor_type,
+    coalesce(try_strptime(measurement_timestamp, '%Y-%m-%d %H:%M:%S'), try_strptime(measurement_timestamp, '%Y-%m-%dT%H:%M:%S'),
+        try_strptime(measurement_timestamp, '%Y-%m-%d %H:%M:%S.%f')) AS t,
+    CASE sensor_type WHEN 'temperature' THEN CASE measurement_unit WHEN 'fahrenheit' THEN (v - 32) * 5 / 9 WHEN 'kelvin' THEN v - 273.15::DOUBLE ELSE v END
+        WHEN 'pressure' THEN CASE measurement_unit WHEN 'psi' THEN v * 0.0689476::DOUBLE WHEN 'pascal' THEN v / 100000 ELSE v END ELSE v END AS v,
+    CASE sensor_type WHEN 'temperature' THEN 'celsius' WHEN 'pressure' THEN 'bar' ELSE measurement_unit END AS measurement_unit
+    FROM (SELECT *, try_cast(measurement_value AS DOUBLE) AS v FROM raw_text) WHERE id % 97 <> 0""")
+VIEWS["spots"] = ("std", """SELECT *, last_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER w AS last_t,
+    last_value(v IGNORE NULLS) OVER w AS last_v, last_value(CASE WHEN v IS NOT NULL THEN nulls END IGNORE NULLS) OVER w AS last_nulls
+    FROM (SELECT *, sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY sensor_id ORDER BY t, id) AS nulls FROM std)
+    WINDOW w AS (PARTITION BY sensor_id ORDER BY t, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+VIEWS["filled"] = ("spots", """SELECT id, sensor_id, sensor_type, t AS measurement_timestamp, measurement_unit,
+    CASE WHEN v IS NOT NULL THEN v WHEN short THEN last_v ELSE med END AS value,
+    v IS NULL AND (short OR med IS NOT NULL) AS is_imputed,
+    CASE WHEN v IS NOT NULL THEN NULL WHEN short THEN 'forward_fill' WHEN med IS NOT NULL THEN 'median' END AS imputation_method
+    FROM (SELECT g.*, coalesce(g.t - g.last_t <= INTERVAL 60 MINUTE AND g.nulls - g.last_nulls <= 5, false) AS short,
+        (SELECT median(r.v) FROM std r WHERE r.sensor_id = g.sensor_id AND r.t >= date_trunc('hour', g.t) - INTERVAL 24 HOUR
+            AND r.t < date_trunc('hour', g.t)) AS med FROM spots g)""")
