@@ -16,6 +16,9 @@ AS_OF = "2024-01-31"
 AS_OF_STOCK = "2001-12-01"
 # Which event type stands in for which sensor; "error" carries the failures.
 SENSOR_OF_TYPE = {"click": "temperature", "view": "vibration", "signup": "pressure", "purchase": "rpm"}
+PARTS_OF_MODEL = {"AUTOMOBILE": "ECONOMY", "BUILDING": "LARGE", "FURNITURE": "MEDIUM", "HOUSEHOLD": "SMALL",
+                  "MACHINERY": "STANDARD"}
+SLOTS = 40  # an aircraft and a part belong together when their ids share a slot
 FAILURE_VALUE = 100
 CORRECTIVE_VALUE = 50
 TEST_RANGES = {
@@ -139,6 +142,10 @@ def fleet(spark, sf) -> DataFrame:
     )
 
 
+def part_kind(model: Column) -> Column:
+    return F.create_map(*[F.lit(x) for kv in PARTS_OF_MODEL.items() for x in kv])[model]
+
+
 def status_changes(spark, sf) -> DataFrame:
     return table(spark, sf, "orders").select(
         F.col("o_custkey").alias("aircraft_id"), F.col("o_orderstatus").alias("status"),

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hangarflow import rules
 from hangarflow.functions import scalars
-from hangarflow.operators.ordered import HOUR, names, nearest_seen, per_entity
+from hangarflow.operators.ordered import HOUR, names, nearest_seen
+from hangarflow.operators.quantiles import exact_quantiles
+from hangarflow.session import staged
 
 
 def impute(df, cols: Sequence[str], strategy: str, by="aircraft_id", ts="date", order=(), width=None) -> DataFrame:
@@ -58,36 +60,30 @@ def interpolate(df, cols, by, ts, order=(), width=None) -> DataFrame:
     return both.select(*[blend(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def bounds(df, cols, method: str, k: float, by=None, approximate: bool = False) -> DataFrame:
-    """Lower and upper limit per column (per group when ``by`` is given)."""
-    def edge(c: str) -> Column:
-        if method == "iqr":
-            if approximate:
-                q = F.percentile_approx(c, [0.25, 0.75], 10000)
-            else:
-                q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.75)))
-            lo, hi, reach = q[0], q[1], (q[1] - q[0]) * k
-        elif method == "zscore":
-            lo = hi = F.avg(c)
-            reach = F.stddev_samp(c) * k
-        else:
-            raise ValueError(f"unknown method {method!r}")
-        return F.struct((lo - reach).alias("lo"), (hi + reach).alias("hi"))
+def bounds(df, cols, method: str, k: float, by=None) -> DataFrame:
+    """Lower and upper limit per column (per category when ``by`` is given)."""
+    groups = names(by) if by else []
+    if method == "iqr":
+        q = exact_quantiles(df, cols, [0.25, 0.75], groups)
+        edges = {c: (F.col(c)[0], F.col(c)[1], (F.col(c)[1] - F.col(c)[0]) * k) for c in cols}
+    elif method == "zscore":
+        q = df.groupBy(*groups).agg(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(c) for c in cols])
+        edges = {c: (F.col(f"{c}.m"), F.col(f"{c}.m"), F.col(f"{c}.s") * k) for c in cols}
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    return q.select(*groups, *[
+        F.struct((lo - reach).alias("lo"), (hi + reach).alias("hi")).alias(c) for c, (lo, hi, reach) in edges.items()
+    ])
 
-    made = [edge(c).alias(c) for c in cols]
-    return df.groupBy(*names(by)).agg(*made) if by else df.agg(*made)
 
-
-def outliers(df, cols, method="iqr", k=None, action="cap", approximate=False) -> DataFrame:
+def outliers(df, cols, method="iqr", k=None, action="cap") -> DataFrame:
     """Cap (default), flag or remove values outside the limits.
 
     The limits arrive as a scalar subquery: no driver round trip, no cross join.
-    Exact percentiles keep a value -> count map, which grows with the distinct
-    values; ``approximate`` bounds it.
     """
     k = k if k is not None else (rules.IQR_FACTOR if method == "iqr" else 3.0)
     cols = [c for c in cols if c in df.columns]
-    limit = bounds(df, cols, method, k, approximate=approximate).select(F.struct(*cols).alias("b")).scalar()
+    limit = bounds(df, cols, method, k).select(F.struct(*cols).alias("b")).scalar()
     known = df.withColumn("_b", limit)
 
     def outside(c):
@@ -111,8 +107,8 @@ def outliers(df, cols, method="iqr", k=None, action="cap", approximate=False) ->
 def outlier_score(df, value: str, by, k=rules.IQR_FACTOR, domain=None, kind="sensor_type") -> DataFrame:
     """Flag plus score (distance beyond the quartiles in IQRs) per group, and domain ranges."""
     by = names(by)
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)))
-    joined = per_entity(df, by, {"_q": q})
+    q = exact_quantiles(df, [value], [0.25, 0.75], by).withColumnRenamed(value, "_q")
+    joined = df.join(F.broadcast(q), by, "left")  # one row per category of a fixed list
     iqr = F.col("_q")[1] - F.col("_q")[0]
     beyond = F.greatest(F.col("_q")[0] - F.col(value), F.col(value) - F.col("_q")[1], F.lit(0.0))
     in_domain = F.lit(True)
@@ -200,7 +196,8 @@ def silver_readings(readings: DataFrame, unit: str = "measurement_unit", width=H
         "id", "aircraft_id", scalars.normalise_id(F.col("sensor_id")).alias("sensor_id"), "sensor_type",
         "measurement_timestamp", value.alias("measurement_value"), new_unit.alias("measurement_unit"),
     )
-    filled = impute_context(std, width=width)
+    # The quartiles below read this several times; filling it again each time would cost more.
+    filled = staged(impute_context(std, width=width))
     flagged = outlier_score(filled, "measurement_value", "sensor_type", domain=rules.READING_RANGES)
     score = (
         F.when(F.col("measurement_value").isNull(), 0.0)

@@ -49,22 +49,20 @@ def forward_within(left, events, by, ts: str, event_ts: str, days: int, out: str
 def trailing_counts(
     snapshots: DataFrame, events: DataFrame, by, day: str, event_day: str, counts: dict[str, int],
 ) -> DataFrame:
-    """Events in the last N days (today included) per entity and day.
+    """Events in the last N days (today included) for each entity-day row.
 
-    Events are counted per day first, so the frame runs over calendar days.
+    Events are counted per day, stacked with the snapshots and summed over a day
+    frame: one shuffle, and an entity's window holds calendar days only.
     """
     by = names(by)
     per_day = events.groupBy(*by, F.col(event_day).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    grid = (
-        snapshots.select(*by, F.col(day).alias("_d"), F.lit(0).cast("long").alias("_n"), F.lit(1).alias("_snap"))
-        .unionByName(per_day.withColumn("_snap", F.lit(0)))
-        .groupBy(*by, "_d").agg(F.sum("_n").alias("_n"), F.max("_snap").alias("_snap"))
-    )
+    rows = snapshots.withColumn("_row", F.struct(*snapshots.columns)).select(
+        *by, F.col(day).alias("_d"), F.lit(0).cast("long").alias("_n"), "_row")
     w = Window.partitionBy(*by).orderBy(F.unix_date("_d").cast("long"))
-    counted = grid.select(*by, F.col("_d").alias(day), "_snap", *[
+    stacked = rows.unionByName(per_day, allowMissingColumns=True)
+    return stacked.select("_row", *[
         F.sum("_n").over(w.rangeBetween(-n, 0)).alias(out) for out, n in counts.items()
-    ]).where("_snap = 1").drop("_snap")
-    return snapshots.join(counted, [*by, day], "left")
+    ]).where(F.col("_row").isNotNull()).select("_row.*", *counts)
 
 
 def with_default(df: DataFrame, lookup: DataFrame, on, column: str, default: str) -> DataFrame:

@@ -91,3 +91,48 @@ VIEWS["filled"] = ("spots", """SELECT id, sensor_id, sensor_type, t AS measureme
     FROM (SELECT g.*, coalesce(g.t - g.last_t <= INTERVAL 60 MINUTE AND g.nulls - g.last_nulls <= 5, false) AS short,
         (SELECT median(r.v) FROM std r WHERE r.sensor_id = g.sensor_id AND r.t >= date_trunc('hour', g.t) - INTERVAL 24 HOUR
             AND r.t < date_trunc('hour', g.t)) AS med FROM spots g)""")
+
+
+def _ff(c, part="aircraft_id", order="date"):
+    return (f"coalesce(last_value({c} IGNORE NULLS) OVER (PARTITION BY {part} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+            f"first_value({c} IGNORE NULLS) OVER (PARTITION BY {part} ORDER BY {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))")
+
+
+_other = "aircraft_id, date, cycle, altitude, ambient_temp, flight_hours, failed, days_to_failure, will_fail_7days"
+VIEWS["gold_fill"] = ("labeled", f"SELECT {_other}, {', '.join(f'{_ff(c)} AS {c}' for c in S4)} FROM labeled")
+VIEWS["gold_lim"] = ("gold_fill", "SELECT " + ", ".join(
+    f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.75) AS b_{c}" for c in S4) + " FROM gold_fill")
+VIEWS["gold_silver"] = ("gold_fill gold_lim", f"SELECT {_other}, " + ", ".join(
+    f"CASE WHEN {c} IS NOT NULL THEN greatest(a_{c} - 3 * (b_{c} - a_{c}), least(b_{c} + 3 * (b_{c} - a_{c}), {c})) END AS {c}"
+    for c in S4) + " FROM gold_fill, gold_lim")
+_KEYS = "aircraft_id, sensor_id, sensor_type"
+VIEWS["hours"] = ("readings", f"""SELECT {_KEYS}, date_trunc('hour', measurement_timestamp) AS feature_timestamp,
+    arg_max(measurement_value, measurement_timestamp) AS value_current, avg(measurement_value) AS mean FROM readings
+    GROUP BY ALL""")
+VIEWS["flagged0"] = ("readings", """SELECT *, abs(measurement_value - q2) / ((q3 - q1) / 1.349::DOUBLE + 1e-6) AS z FROM readings JOIN
+    (SELECT sensor_type, quantile_cont(measurement_value, 0.25) AS q1, quantile_cont(measurement_value, 0.5) AS q2,
+        quantile_cont(measurement_value, 0.75) AS q3 FROM readings GROUP BY 1) USING (sensor_type)""")
+VIEWS["flagged"] = ("flagged0", """SELECT *, z / (z + 1) AS anomaly_score,
+    z / (z + 1) > (SELECT quantile_cont(z / (z + 1), 0.95) FROM flagged0) AS is_anomaly FROM flagged0""")
+VIEWS["acdays0"] = ("flagged", """SELECT aircraft_id, measurement_timestamp::DATE AS feature_date, sensor_type, count(*) AS n,
+    sum(anomaly_score) AS score, max(is_anomaly::INTEGER) AS odd, max(anomaly_score) AS top,
+    max(CASE WHEN (sensor_type = 'temperature' AND measurement_value >= 150) OR (sensor_type = 'vibration' AND measurement_value >= 80) THEN 1 ELSE 0 END) AS over_limit
+    FROM flagged GROUP BY ALL""")
+VIEWS["acdays1"] = ("acdays0 fleet failures", """SELECT d.*, coalesce(f.failed, 0) AS failed_today, model FROM (
+    SELECT aircraft_id, feature_date, sum(n)::BIGINT AS flight_cycles_today, sum(n)::DOUBLE AS flight_hours_today,
+        sum(odd)::BIGINT AS sensors_with_anomalies_count, sum(score) / sum(n) AS avg_anomaly_score,
+        sum(over_limit)::BIGINT AS critical_sensors_count, count(*) FILTER (WHERE top >= 0.75) AS components_high_risk_count,
+        coalesce(string_agg(CASE WHEN odd = 1 THEN sensor_type END, ',' ORDER BY sensor_type), '') AS pattern
+    FROM acdays0 GROUP BY ALL) d LEFT JOIN fleet USING (aircraft_id)
+    LEFT JOIN (SELECT aircraft_id, failure_ts::DATE AS feature_date, count(*) AS failed FROM failures GROUP BY ALL) f USING (aircraft_id, feature_date)""")
+VIEWS["acdays"] = ("acdays1 maintenance failures", """SELECT aircraft_id, feature_date, flight_hours_today, flight_cycles_today,
+    sum(flight_hours_today) OVER w AS cumulative_flight_hours, (sum(flight_cycles_today) OVER w)::BIGINT AS cumulative_flight_cycles,
+    date_diff('day', (SELECT max(start_ts::DATE) FROM maintenance m WHERE m.aircraft_id = a.aircraft_id AND m.start_ts::DATE <= a.feature_date), feature_date)::INTEGER AS days_since_last_maintenance,
+    date_diff('day', feature_date, (SELECT min(start_ts::DATE) FROM maintenance m WHERE m.aircraft_id = a.aircraft_id AND maintenance_type = 'preventive' AND m.start_ts::DATE >= a.feature_date))::INTEGER AS days_until_next_scheduled_maintenance,
+    (SELECT count(*) FROM maintenance m WHERE m.aircraft_id = a.aircraft_id AND m.start_ts::DATE BETWEEN a.feature_date - 30 AND a.feature_date) AS maintenance_events_last_30d,
+    (SELECT count(*) FROM failures m WHERE m.aircraft_id = a.aircraft_id AND m.failure_ts::DATE BETWEEN a.feature_date - 90 AND a.feature_date) AS failure_events_last_90d,
+    (SELECT count(*) FROM failures m WHERE m.aircraft_id = a.aircraft_id AND m.failure_ts::DATE BETWEEN a.feature_date - 90 AND a.feature_date) > 0 AS failure_history_indicator,
+    sensors_with_anomalies_count, avg_anomaly_score, critical_sensors_count, components_high_risk_count, 1 - avg_anomaly_score AS health_index,
+    coalesce(sum(failed_today) OVER (PARTITION BY model, pattern ORDER BY feature_date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING), 0)::BIGINT AS similar_failure_history_count
+    FROM acdays1 a WINDOW w AS (PARTITION BY aircraft_id ORDER BY feature_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+VIEWS["latest_stock"] = ("inventory", "SELECT * FROM inventory QUALIFY row_number() OVER (PARTITION BY part_number ORDER BY snapshot_date DESC) = 1")

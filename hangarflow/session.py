@@ -55,3 +55,13 @@ def checkpointed(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(work_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def staged(df):
+    """Write once to the shared folder and read back, for results used several times.
+
+    Columnar, so later passes read only their columns; survives lost executors.
+    """
+    path = work_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
