@@ -74,7 +74,8 @@ def run(spark: SparkSession, bronze: str, silver: str, gold: str, fmt: str = "pa
 
 def anomaly_flag(df: DataFrame, value: str, by: str, contamination=rules.CONTAMINATION) -> DataFrame:
     """Robust deviation per category, squeezed to [0, 1); flagged above the fleet's quantile."""
-    q = exact_quantiles(df, [value], [0.25, 0.5, 0.75], [by]).withColumnRenamed(value, "_q")
+    # Three numbers per category, used by every later pass: computed once.
+    q = staged(exact_quantiles(df, [value], [0.25, 0.5, 0.75], [by]).withColumnRenamed(value, "_q"))
     spread = (F.col("_q")[2] - F.col("_q")[0]) / 1.349
     z = F.abs(F.col(value) - F.col("_q")[1]) / (spread + 1e-6)
     scored = df.join(F.broadcast(q), by, "left").select(*df.columns, (z / (z + 1)).alias("anomaly_score"))

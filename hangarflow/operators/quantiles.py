@@ -1,8 +1,8 @@
 """Exact quantiles of large columns with bounded memory.
 
 ``percentile`` keeps every distinct value in one aggregate buffer. Here a
-bounded sketch brackets each quantile first; exact ranks are then counted, and
-only the values inside the brackets (a few in ten thousand rows) are sorted.
+bounded sketch brackets each quantile first; a second pass counts the rows below
+each bracket and sorts only the values inside it (a few in ten thousand rows).
 """
 
 from __future__ import annotations
@@ -41,35 +41,27 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     def high(c, i):
         return F.when((F.lit(probs[i]) < 1 - margin) & (F.col(f"_s_{c}.n") > small), F.col(f"_s_{c}.b")[2 * i + 1])
 
-    spots = [(c, i) for c in cols for i in range(len(probs))]
-    below = known.groupBy(*by).agg(*[
-        F.count_if(F.col(c) < low(c, i)).alias(f"_below_{c}_{i}") for c, i in spots
-    ])
-    inside = known.select(*by, F.explode(F.filter(
-        F.array(*[
-            F.when(
-                F.col(c).isNotNull() & F.coalesce(F.col(c) >= low(c, i), F.lit(True))
-                & F.coalesce(F.col(c) <= high(c, i), F.lit(True)),
-                F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), F.col(c).alias("v")),
-            ) for c, i in spots
-        ]), lambda s: s.isNotNull())).alias("s"))
-    counted = inside.groupBy(*by, "s.c", "s.i", "s.v").agg(F.count(F.lit(1)).alias("k"))
-    run = Window.partitionBy(*by, "c", "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.withColumn("upto", F.sum("k").over(run))
+    # One struct per (column, quantile) a row matters to; a row below the bracket
+    # only counts, so its value is dropped and it collapses map-side.
+    def spot(c, i):
+        v = F.col(c)
+        below = F.coalesce(v < low(c, i), F.lit(False))
+        pos = (F.col(f"_s_{c}.n") - 1) * F.lit(float(probs[i]))
+        return F.when(
+            v.isNotNull() & F.coalesce(v <= high(c, i), F.lit(True)),
+            F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), pos.alias("pos"), F.when(~below, v).alias("v")),
+        )
 
-    ranks = sketch.join(F.broadcast(below), by).select(*by, F.explode(F.array(*[
-        F.struct(
-            F.lit(c).alias("c"), F.lit(i).alias("i"), F.col(f"_below_{c}_{i}").alias("below"),
-            ((F.col(f"_s_{c}.n") - 1) * F.lit(float(probs[i]))).alias("pos"),
-        ) for c, i in spots
-    ])).alias("r")).select(*by, "r.*")
-    hit = placed.join(F.broadcast(ranks), [*by, "c", "i"])
+    spots = F.array(*[spot(c, i) for c in cols for i in range(len(probs))])
+    inside = known.select(*by, F.explode(F.filter(spots, lambda s: s.isNotNull())).alias("s"))
+    counted = inside.groupBy(*by, "s.c", "s.i", "s.pos", "s.v").agg(F.count(F.lit(1)).alias("k"))
+    run = Window.partitionBy(*by, "c", "i").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("upto", F.sum("k").over(run))
 
     def at(rank):
-        first = F.col("below") + F.col("upto") - F.col("k")
-        return F.max(F.when((rank >= first) & (rank < first + F.col("k")), F.col("v")))
+        return F.max(F.when((rank >= F.col("upto") - F.col("k")) & (rank < F.col("upto")), F.col("v")))
 
-    solved = hit.groupBy(*by, "c", "i").agg(
+    solved = placed.groupBy(*by, "c", "i").agg(
         at(F.floor("pos")).alias("lo"), at(F.ceil("pos")).alias("hi"), F.first("pos").alias("pos"))
     value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))
     wide = solved.groupBy(*by).agg(*[

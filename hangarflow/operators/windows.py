@@ -23,9 +23,9 @@ def _rows(by, ts, n):
 
 def rolling_columns(cols, sizes, by, ts) -> list[Column]:
     made = []
+    frames = {n: _rows(by, ts, n) for n in sizes}
     for c in cols:
-        for n in sizes:
-            w = _rows(by, ts, n)
+        for n, w in frames.items():
             made += [
                 F.avg(c).over(w).alias(f"{c}_rolling_mean_{n}d"),
                 F.stddev_samp(c).over(w).alias(f"{c}_rolling_std_{n}d"),
@@ -42,11 +42,11 @@ def rolling(df, cols, sizes=tuple(rules.WINDOWS_DAYS), by="aircraft_id", ts="dat
 
 def trend_columns(cols, sizes, by, ts) -> list[Column]:
     made = []
+    step = Window.partitionBy(*names(by)).orderBy(ts)
+    frames = {n: _rows(by, ts, n) for n in sizes}
     for c in cols:
-        step = Window.partitionBy(*names(by)).orderBy(ts)
         made.append((F.col(c) - F.lag(c, 1).over(step)).alias(f"{c}_diff_1d"))
-        for n in sizes:
-            w = _rows(by, ts, n)
+        for n, w in frames.items():
             rise = (F.col(c) - F.first(c).over(w)) / F.count(F.lit(1)).over(w)
             made.append(F.when(F.count(c).over(w) >= 2, rise).alias(f"{c}_slope_{n}d"))
     return made
