@@ -136,3 +136,9 @@ VIEWS["acdays"] = ("acdays1 maintenance failures", """SELECT aircraft_id, featur
     coalesce(sum(failed_today) OVER (PARTITION BY model, pattern ORDER BY feature_date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING), 0)::BIGINT AS similar_failure_history_count
     FROM acdays1 a WINDOW w AS (PARTITION BY aircraft_id ORDER BY feature_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 VIEWS["latest_stock"] = ("inventory", "SELECT * FROM inventory QUALIFY row_number() OVER (PARTITION BY part_number ORDER BY snapshot_date DESC) = 1")
+VIEWS["scd_once"] = ("status_changes", "SELECT aircraft_id, changed_at, arg_max(status, change_id) AS status FROM status_changes GROUP BY 1, 2")
+VIEWS["scd_start"] = ("scd_once", """SELECT aircraft_id, changed_at, status FROM (SELECT *, lag(status) OVER (PARTITION BY aircraft_id ORDER BY changed_at) AS before,
+    row_number() OVER (PARTITION BY aircraft_id ORDER BY changed_at) AS rn FROM scd_once) WHERE rn = 1 OR status <> before""")
+VIEWS["scd"] = ("scd_start", """SELECT aircraft_id, status, changed_at AS effective_start_date,
+    coalesce(lead(changed_at) OVER w, TIMESTAMP '9999-12-31') AS effective_end_date, lead(changed_at) OVER w IS NULL AS is_current,
+    (row_number() OVER w)::INTEGER AS version_number FROM scd_start WINDOW w AS (PARTITION BY aircraft_id ORDER BY changed_at)""")
