@@ -1 +1,232 @@
+"""Splits, weights, scaling, metrics, curves and model queries."""
 
+from pyspark.sql import functions as F
+
+from hangarflow import bindings as B, rules
+from hangarflow.ml import evaluate, forest, prepare, train
+from hangarflow.operators import cleaning, windows
+from hangarflow.plans.registry import out, query
+from hangarflow.plans.sql_views import S4, VIEWS
+from hangarflow.session import staged, work_dir
+
+FEATURES = ["temperature", "vibration", "pressure", "rpm", "ambient_temp", "flight_hours",
+            "temperature_rolling_mean_7d", "vibration_rolling_mean_7d", "pressure_rolling_mean_7d", "rpm_rolling_mean_7d"]
+LABEL = "will_fail_7days"
+KEY = ["aircraft_id", "date"]
+
+VIEWS["split_rows"] = ("labeled", """SELECT *, CASE WHEN pos < a THEN 'train' WHEN pos < a + 7 THEN 'gap' WHEN pos < b THEN 'validation' WHEN pos < b + 7 THEN 'gap' ELSE 'test' END AS split
+    FROM (SELECT *, row_number() OVER (ORDER BY date, aircraft_id) - 1 AS pos, floor(count(*) OVER () * 0.7::DOUBLE) AS a, floor(count(*) OVER () * (0.7::DOUBLE + 0.15::DOUBLE)) AS b FROM labeled)""")
+VIEWS["cuts"] = ("labeled", """SELECT max(CASE WHEN before <= floor(total * 0.7::DOUBLE) THEN date END) AS a, max(CASE WHEN before <= floor(total * (0.7::DOUBLE + 0.15::DOUBLE)) THEN date END) AS b
+    FROM (SELECT date, sum(n) OVER (ORDER BY date) - n AS before, sum(n) OVER () AS total FROM (SELECT date, count(*) AS n FROM labeled GROUP BY 1))""")
+
+
+@query("time_split", out("""
+    SELECT 'rows' AS mode, split, count(*) AS records, min(date) AS first_date, max(date) AS last_date, sum(will_fail_7days)::BIGINT AS failures FROM split_rows GROUP BY 2
+    UNION ALL SELECT 'days', CASE WHEN date < a THEN 'train' WHEN date >= a + 7 AND date < b THEN 'validation' WHEN date >= b + 7 THEN 'test' ELSE 'gap' END,
+        count(*), min(date), max(date), sum(will_fail_7days)::BIGINT FROM labeled, cuts GROUP BY 2""", date="first_date last_date", views="split_rows cuts"))
+def time_split(spark, sf):
+    """Both gap modes; every row is placed, and the result is summed per part."""
+    d = B.daily_labeled(spark, sf).select("aircraft_id", "date", LABEL)
+    made = None
+    for mode in ("rows", "days"):
+        parts = prepare.time_split(d, mode=mode, width=1_000_000)
+        one = parts.groupBy(F.lit(mode).alias("mode"), "split").agg(
+            F.count(F.lit(1)).alias("records"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.sum(LABEL).alias("failures"))
+        made = one if made is None else made.unionByName(one)
+    return made
+
+
+@query("time_split_rows", out("SELECT aircraft_id, date, split FROM split_rows", date="date", views="split_rows"))
+def time_split_rows(spark, sf):
+    d = B.daily_labeled(spark, sf).select("aircraft_id", "date")
+    return prepare.time_split(d, mode="rows", width=1_000_000)
+
+
+@query("ts_cv", out("""
+    SELECT fold::INTEGER AS fold, CASE WHEN idx < d - size * (6 - fold) THEN 'train' ELSE 'test' END AS role, count(*) AS records, min(date) AS first_date, max(date) AS last_date
+    FROM (SELECT *, d // 6 AS size FROM (SELECT date, dense_rank() OVER (ORDER BY date) - 1 AS idx FROM labeled), (SELECT count(DISTINCT date) AS d FROM labeled)), range(1, 6) f(fold)
+    WHERE idx < d - size * (6 - fold) + size GROUP BY 1, 2""", date="first_date last_date", views="labeled"))
+def ts_cv(spark, sf):
+    d = B.daily_labeled(spark, sf).select("aircraft_id", "date")
+    return prepare.ts_folds(d).groupBy("fold", "role").agg(
+        F.count(F.lit(1)).alias("records"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+@query("class_weights", out("""
+    SELECT label, count(*) AS records, (SELECT count(*) FROM scored)::DOUBLE / (2 * count(*)) AS weight,
+        ((SELECT count(*) FROM scored) - count(*))::DOUBLE / count(*) AS imbalance_ratio FROM scored GROUP BY 1""",
+    dbl="weight imbalance_ratio", views="scored"))
+def class_weights(spark, sf):
+    return prepare.class_weights(B.scored(spark, sf))
+
+
+_C3 = ["ambient_temp", "flight_hours"]
+
+
+def _scaled_sql(method):
+    a, b = {"standard": ("avg({c})", "stddev_pop({c})"), "minmax": ("min({c})", "max({c}) - min({c})"),
+            "robust": ("quantile_cont({c}, 0.5)", "quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)")}[method]
+    fit = ", ".join(f"{a.format(c=c)} AS a_{c}, {b.format(c=c)} AS b_{c}" for c in _C3)
+    cols = ", ".join(f"({c} - a_{c}) / b_{c} AS {c}" for c in _C3)
+    return f"SELECT '{method}' AS method, aircraft_id, date, {cols} FROM labeled, (SELECT {fit} FROM split_rows WHERE split = 'train')"
+
+
+@query("scale", out(" UNION ALL ".join(map(_scaled_sql, ["standard", "minmax", "robust"])), dbl=" ".join(_C3), date="date", views="labeled split_rows"))
+def scale(spark, sf):
+    """All rows scaled with the statistics of the training part only."""
+    d = B.daily_labeled(spark, sf).select("aircraft_id", "date", *_C3)
+    fit_on = prepare.time_split(d, mode="rows", width=1_000_000).where("split = 'train'")
+    made = None
+    for m in ("standard", "minmax", "robust"):
+        one = prepare.scale(fit_on, d, _C3, m).select(F.lit(m).alias("method"), "*")
+        made = one if made is None else made.unionByName(one)
+    return made
+
+
+VIEWS["sel_src"] = ("labeled", """SELECT ambient_temp, flight_hours, ambient_temp * 2 + 1 AS ambient_double, 1.0::DOUBLE AS always_one, failed::DOUBLE AS failed_today,
+    cycle::DOUBLE AS cycle_no, will_fail_7days FROM labeled""")
+_SEL = ["ambient_temp", "flight_hours", "ambient_double", "always_one", "failed_today", "cycle_no"]
+
+
+VIEWS["strengths"] = ("sel_src", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, var_samp({c}) AS variance, CASE WHEN var_samp({c}) > 0.01 THEN abs(corr({c}, will_fail_7days)) END AS strength FROM sel_src" for c in _SEL))
+
+@query("feature_select", out("""
+    SELECT column_name, variance, reason = 'kept' AS selected, reason FROM (SELECT column_name, variance, CASE WHEN variance <= 0.01 THEN 'low_variance'
+        WHEN column_name = 'ambient_double' AND (SELECT abs(corr(ambient_temp, ambient_double)) > 0.95 FROM sel_src) THEN 'correlated'
+        WHEN 4 <= (SELECT count(*) FROM strengths o WHERE o.strength > s.strength AND column_name <> 'ambient_double') THEN 'not_in_top' ELSE 'kept' END AS reason
+        FROM strengths s)""", dbl="variance", views="strengths"))
+def feature_select(spark, sf):
+    d = B.daily_labeled(spark, sf)
+    src = d.select("ambient_temp", "flight_hours", (F.col("ambient_temp") * 2 + 1).alias("ambient_double"), F.lit(1.0).alias("always_one"),
+                   F.col("failed").cast("double").alias("failed_today"), F.col("cycle").cast("double").alias("cycle_no"), LABEL)
+    return prepare.feature_report(src, _SEL, LABEL)
+
+
+_CNT = """count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+    count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn"""
+VIEWS["curve"] = ("scored", """SELECT threshold, pos, neg, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn, sum(pos) OVER () AS p, sum(neg) OVER () AS n
+    FROM (SELECT failure_probability AS threshold, count(*) FILTER (WHERE label = 1)::DOUBLE AS pos, count(*) FILTER (WHERE label = 0)::DOUBLE AS neg FROM scored GROUP BY 1)
+    WINDOW w AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+
+
+@query("metrics", out(f"""
+    SELECT *, tp / (tp + fp)::DOUBLE AS "precision", tp / (tp + fn)::DOUBLE AS recall, 2 * tp / (2 * tp + fp + fn)::DOUBLE AS f1_score, (tp + tn) / (tp + fp + fn + tn)::DOUBLE AS accuracy,
+        fp / (fp + tn)::DOUBLE AS false_positive_rate, (SELECT sum(neg * (cp - pos / 2)) / max(p * n) FROM curve) AS roc_auc, (SELECT sum(pos / p * cp / (cp + cn)) FROM curve) AS average_precision
+    FROM (SELECT {_CNT} FROM scored)""", dbl='"precision" recall f1_score accuracy false_positive_rate roc_auc average_precision', views="scored curve"))
+def metrics(spark, sf):
+    return evaluate.metrics(B.scored(spark, sf))
+
+
+@query("confusion", out("""SELECT a::INTEGER AS actual, p::INTEGER AS predicted, (SELECT count(*) FROM scored WHERE label = a AND prediction = p) AS records
+    FROM range(2) x(a), range(2) y(p)""", views="scored"))
+def confusion(spark, sf):
+    return evaluate.confusion(B.scored(spark, sf))
+
+
+@query("class_report", out(f"""
+    SELECT 'No Failure' AS "class", tn / (tn + fn)::DOUBLE AS "precision", tn / (tn + fp)::DOUBLE AS recall, 2 * tn / (2 * tn + fn + fp)::DOUBLE AS f1_score, tn + fp AS support FROM (SELECT {_CNT} FROM scored)
+    UNION ALL SELECT 'Failure', tp / (tp + fp)::DOUBLE, tp / (tp + fn)::DOUBLE, 2 * tp / (2 * tp + fp + fn)::DOUBLE, tp + fn FROM (SELECT {_CNT} FROM scored)""",
+    dbl='"precision" recall f1_score', views="scored"))
+def class_report(spark, sf):
+    return evaluate.class_report(B.scored(spark, sf))
+
+
+@query("roc_curve", out("SELECT threshold, cn / n AS fpr, cp / p AS tpr FROM curve", dbl="threshold fpr tpr", views="curve"))
+def roc_curve(spark, sf):
+    return evaluate.roc(B.scored(spark, sf))
+
+
+@query("pr_curve", out('SELECT threshold, cp / (cp + cn) AS "precision", cp / p AS recall FROM curve', dbl='threshold "precision" recall', views="curve"))
+def pr_curve(spark, sf):
+    return evaluate.pr(B.scored(spark, sf))
+
+
+# --------------------------------------------------------------------- models
+
+def _frame(spark, sf):
+    """Filled daily rows with 7-day means, staged once: model fitting passes over it many times."""
+    filled = cleaning.impute(B.daily_labeled(spark, sf), S4, "forward_fill")
+    rolled = windows.rolling(filled, S4, [7])
+    return staged(rolled.select(*KEY, *FEATURES, LABEL).dropna())
+
+
+def _parts(spark, sf):
+    # The test tables span 30 days, so the gap is a day here instead of a week.
+    split = staged(prepare.time_split(_frame(spark, sf), gap=1))
+    return prepare.weighted(split.where("split = 'train'").drop("split"), LABEL), split.where("split = 'test'").drop("split")
+
+
+def _fit_and_score(spark, sf, kind, params=None):
+    fit_on, test = _parts(spark, sf)
+    return train.score(train.fit(fit_on, FEATURES, LABEL, kind, params, "weight"), test).select(*KEY, LABEL, "failure_probability", "prediction")
+
+
+@query("model_lr")
+def model_lr(spark, sf):
+    return _fit_and_score(spark, sf, "logistic_regression")
+
+
+@query("model_dt")
+def model_dt(spark, sf):
+    return _fit_and_score(spark, sf, "decision_tree")
+
+
+@query("model_rf")
+def model_rf(spark, sf):
+    return _fit_and_score(spark, sf, "random_forest", {"max_depth": 20, "min_samples_leaf": 2})
+
+
+@query("model_gbt")
+def model_gbt(spark, sf):
+    return _fit_and_score(spark, sf, "xgboost")
+
+
+@query("experiment")
+def experiment(spark, sf):
+    return train.experiment(_frame(spark, sf), "logistic_regression", split={"gap": 1})[1]
+
+
+@query("batch_scoring")
+def batch_scoring(spark, sf):
+    fit_on, test = _parts(spark, sf)
+    model = train.fit(fit_on, FEATURES, LABEL, "logistic_regression", weight="weight")
+    path = work_dir(spark)
+    model.write().overwrite().save(path + "-model")
+    return train.batch_scoring(spark, train.load(path + "-model"), test, path, model_id="logistic_regression")
+
+
+@query("tune")
+def tune(spark, sf):
+    space = train.grid({"C": [0.1, 1.0], "max_iter": [50, 200]}, tries=3)
+    return train.tune(prepare.weighted(_frame(spark, sf), LABEL), FEATURES, LABEL, "logistic_regression", space, weight="weight")
+
+
+@query("perm_importance")
+def perm_importance(spark, sf):
+    fit_on, test = _parts(spark, sf)
+    model = train.fit(fit_on, FEATURES, LABEL, "logistic_regression", weight="weight")
+    return train.permutation_importance(model, test, FEATURES, LABEL, KEY)
+
+
+@query("smote")
+def smote(spark, sf):
+    """Class counts and means before and after adding synthetic rows."""
+    made = prepare.smote(_frame(spark, sf), FEATURES[:6], LABEL, KEY)
+    return made.groupBy(LABEL, "is_synthetic").agg(F.count(F.lit(1)).alias("records"), *[F.avg(c).alias(f"mean_{c}") for c in FEATURES[:6]])
+
+
+@query("resample")
+def resample(spark, sf):
+    d = B.scored(spark, sf)
+    made = None
+    for m in ("under", "over"):
+        one = prepare.resample(d, "label", ["aircraft_id", "prediction_date"], m, 1.0).groupBy(F.lit(m).alias("method"), "label").agg(F.count(F.lit(1)).alias("records"))
+        made = one if made is None else made.unionByName(one)
+    return made
+
+
+@query("iso_forest")
+def iso_forest(spark, sf):
+    frame = _frame(spark, sf).select(*KEY, *FEATURES[:6])
+    return forest.score_forest(frame, FEATURES[:6], forest.fit_forest(frame, FEATURES[:6], KEY)).select(*KEY, "anomaly_score", "is_anomaly")
