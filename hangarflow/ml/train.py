@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hangarflow.ml import evaluate, prepare
-from hangarflow.session import staged
+from hangarflow.session import staged, work_dir
 
 KINDS = ["logistic_regression", "decision_tree", "random_forest", "xgboost"]
 SEED = 42
@@ -51,7 +51,11 @@ def fit(train: DataFrame, features: Sequence[str], label: str, kind: str = "rand
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
         classifier(kind, label, weight, rows, params),
     ]
-    return Pipeline(stages=stages).fit(train)
+    # Saved and loaded: the model outlives the session, and scoring does not drag the
+    # training summary (with its DataFrame and session) into every task.
+    path = work_dir(train.sparkSession)
+    Pipeline(stages=stages).fit(train).write().save(path)
+    return PipelineModel.load(path)
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "failure_probability") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hangarflow import rules, schemas
 from hangarflow.operators import cleaning, joins, quality, windows
+from hangarflow.operators.ordered import spread
 from hangarflow.operators.quantiles import exact_quantiles
 from hangarflow.session import staged
 
@@ -18,7 +19,7 @@ def daily_features(silver: DataFrame, cols=tuple(rules.SENSORS), sizes=tuple(rul
     Catalyst plans one exchange for the whole set.
     """
     cols = [c for c in cols if c in silver.columns]
-    return silver.select(
+    return spread(silver, by).select(
         "*", *windows.rolling_columns(cols, sizes, by, ts), *windows.trend_columns(cols, sizes, by, ts),
         *windows.anomaly_columns(cols, by), *windows.domain_columns(silver.columns, by, ts),
     )
@@ -35,7 +36,8 @@ def silver_daily(bronze: DataFrame, cols=tuple(rules.SENSORS), keys=("aircraft_i
     """
     by, ts = keys
     rest = [c for c in bronze.columns if c not in keys]
-    filled = cleaning.impute(bronze, list(cols), "forward_fill", by, ts, order or rest, width)
+    # The limits and the capping both read the filled rows: kept once in the shared folder.
+    filled = staged(cleaning.impute(bronze, list(cols), "forward_fill", by, ts, order or rest, width))
     capped = cleaning.outliers(filled, list(cols), "iqr", rules.IQR_FACTOR, "cap")
     return cleaning.keep_first(capped, list(keys), order or rest)
 

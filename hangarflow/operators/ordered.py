@@ -25,6 +25,16 @@ def names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def spread(df: DataFrame, by) -> DataFrame:
+    """Partition by entity into as many parts as the session asks for.
+
+    Wide window sets cost far more CPU than bytes, and adaptive execution merges
+    partitions by bytes; a stated number keeps them apart.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *names(by))
+
+
 def bucket(df: DataFrame, ts: str, width: int) -> Column:
     """Bucket number of ``ts``, by its type."""
     kind = df.schema[ts].dataType

@@ -24,36 +24,32 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     by = names(by) if by else []
     src = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-    if not by:
-        src, by = src.withColumn("_all", F.lit(1)), ["_all"]
     margin = 2.0 / accuracy  # twice the sketch's rank error
     small = 5 * accuracy  # below this the brackets would be a few ranks wide: sort the whole column
     sides = [min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)]
-    sketch = src.groupBy(*by).agg(*[
-        F.struct(F.count(c).alias("n"), F.percentile_approx(c, sides, accuracy).alias("b")).alias(f"_s_{c}") for c in cols
-    ])
-    # Groups come from a fixed list, so the sketch has a bounded number of rows.
-    known = src.join(F.broadcast(sketch), by)
-
-    def low(c, i):
-        return F.when((F.lit(probs[i]) > margin) & (F.col(f"_s_{c}.n") > small), F.col(f"_s_{c}.b")[2 * i])
-
-    def high(c, i):
-        return F.when((F.lit(probs[i]) < 1 - margin) & (F.col(f"_s_{c}.n") > small), F.col(f"_s_{c}.b")[2 * i + 1])
+    sketch = F.struct(*[
+        F.struct(F.count(c).alias("n"), F.percentile_approx(c, sides, accuracy).alias("b")).alias(c) for c in cols
+    ]).alias("_s")
+    if by:
+        # Groups come from a fixed list, so the sketch has a bounded number of rows.
+        known = src.join(F.broadcast(src.groupBy(*by).agg(sketch)), by)
+    else:
+        known = src.withColumn("_s", src.agg(sketch).scalar())
 
     # One struct per (column, quantile) a row matters to; a row below the bracket
     # only counts, so its value is dropped and it collapses map-side.
-    def spot(c, i):
-        v = F.col(c)
-        below = F.coalesce(v < low(c, i), F.lit(False))
-        pos = (F.col(f"_s_{c}.n") - 1) * F.lit(float(probs[i]))
-        return F.when(
-            v.isNotNull() & F.coalesce(v <= high(c, i), F.lit(True)),
-            F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), pos.alias("pos"), F.when(~below, v).alias("v")),
+    def spot(c: str, i: int) -> str:
+        p, s = probs[i], f"_s.`{c}`"
+        wide = f"{s}.n > {small}"
+        low = f"IF({wide}, {s}.b[{2 * i}], NULL)" if p > margin else "CAST(NULL AS DOUBLE)"
+        high = f"IF({wide}, {s}.b[{2 * i + 1}], NULL)" if p < 1 - margin else "CAST(NULL AS DOUBLE)"
+        return (
+            f"CASE WHEN `{c}` IS NOT NULL AND coalesce(`{c}` <= {high}, true) THEN named_struct('c', '{c}', 'i', {i}, "
+            f"'pos', ({s}.n - 1) * {float(p)!r}D, 'v', IF(coalesce(`{c}` < {low}, false), NULL, `{c}`)) END"
         )
 
-    spots = F.array(*[spot(c, i) for c in cols for i in range(len(probs))])
-    inside = known.select(*by, F.explode(F.filter(spots, lambda s: s.isNotNull())).alias("s"))
+    spots = ", ".join(spot(c, i) for c in cols for i in range(len(probs)))
+    inside = known.select(*by, F.expr(f"explode(filter(array({spots}), x -> x IS NOT NULL)) AS s"))
     counted = inside.groupBy(*by, "s.c", "s.i", "s.pos", "s.v").agg(F.count(F.lit(1)).alias("k"))
     run = Window.partitionBy(*by, "c", "i").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0)
     placed = counted.withColumn("upto", F.sum("k").over(run))
@@ -68,4 +64,4 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         F.transform(F.sort_array(F.collect_list(F.when(F.col("c") == c, F.struct("i", value.alias("v"))))),
                     lambda s: s.v).alias(c) for c in cols
     ])
-    return wide.drop("_all")
+    return wide

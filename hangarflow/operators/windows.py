@@ -14,58 +14,54 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hangarflow import rules
 from hangarflow.functions.scalars import divide
-from hangarflow.operators.ordered import names, nearest_seen, per_entity
+from hangarflow.operators.ordered import names, per_entity, spread
 
 
-def _rows(by, ts, n):
-    return Window.partitionBy(*names(by)).orderBy(ts).rowsBetween(-(n - 1), 0)
+def _over(by, ts=None, n: int | None = None) -> str:
+    """OVER clause: whole entity, ordered, or the last ``n`` rows."""
+    text = "PARTITION BY " + ", ".join(names(by))
+    if ts:
+        text += f" ORDER BY {ts}"
+    if n:
+        text += f" ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
+    return f"OVER ({text})"
 
 
 def rolling_columns(cols, sizes, by, ts) -> list[Column]:
-    made = []
-    frames = {n: _rows(by, ts, n) for n in sizes}
-    for c in cols:
-        for n, w in frames.items():
-            made += [
-                F.avg(c).over(w).alias(f"{c}_rolling_mean_{n}d"),
-                F.stddev_samp(c).over(w).alias(f"{c}_rolling_std_{n}d"),
-                F.min(c).over(w).alias(f"{c}_rolling_min_{n}d"),
-                F.max(c).over(w).alias(f"{c}_rolling_max_{n}d"),
-            ]
-    return made
+    stats = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+    return [
+        F.expr(f"{fn}({c}) {_over(by, ts, n)} AS {c}_rolling_{name}_{n}d")
+        for c in cols for n in sizes for name, fn in stats.items()
+    ]
 
 
 def rolling(df, cols, sizes=tuple(rules.WINDOWS_DAYS), by="aircraft_id", ts="date") -> DataFrame:
     """Rolling mean, sample std, min and max over the last n rows (at least one)."""
-    return df.select("*", *rolling_columns(cols, sizes, by, ts))
+    return spread(df, by).select("*", *rolling_columns(cols, sizes, by, ts))
 
 
 def trend_columns(cols, sizes, by, ts) -> list[Column]:
     made = []
-    step = Window.partitionBy(*names(by)).orderBy(ts)
-    frames = {n: _rows(by, ts, n) for n in sizes}
     for c in cols:
-        made.append((F.col(c) - F.lag(c, 1).over(step)).alias(f"{c}_diff_1d"))
-        for n, w in frames.items():
-            rise = (F.col(c) - F.first(c).over(w)) / F.count(F.lit(1)).over(w)
-            made.append(F.when(F.count(c).over(w) >= 2, rise).alias(f"{c}_slope_{n}d"))
+        made.append(F.expr(f"{c} - lag({c}, 1) {_over(by, ts)} AS {c}_diff_1d"))
+        for n in sizes:
+            w = _over(by, ts, n)
+            made.append(F.expr(
+                f"CASE WHEN count({c}) {w} >= 2 THEN ({c} - first({c}) {w}) / count(1) {w} END AS {c}_slope_{n}d"))
     return made
 
 
 def trend(df, cols, sizes=tuple(rules.WINDOWS_DAYS), by="aircraft_id", ts="date") -> DataFrame:
     """One-step difference and (last - first) / rows over the window."""
-    return df.select("*", *trend_columns(cols, sizes, by, ts))
+    return spread(df, by).select("*", *trend_columns(cols, sizes, by, ts))
 
 
 def anomaly_columns(cols, by) -> list[Column]:
-    w = Window.partitionBy(*names(by))
+    w = _over(by)
     made = []
     for c in cols:
-        off = F.abs(F.col(c) - F.avg(c).over(w))
-        made += [
-            (off / (F.stddev_samp(c).over(w) + 1e-6)).alias(f"{c}_zscore"),
-            off.alias(f"{c}_dist_from_mean"),
-        ]
+        off = f"abs({c} - avg({c}) {w})"
+        made += [F.expr(f"{off} / (stddev_samp({c}) {w} + 1e-6D) AS {c}_zscore"), F.expr(f"{off} AS {c}_dist_from_mean")]
     return made
 
 

@@ -72,7 +72,7 @@ def domain_features(spark, sf):
                          + " temp_vibration_interaction pressure_rpm_ratio", date="date", views="gold_silver"))
 def gold_daily(spark, sf):
     """87 columns per aircraft-day: fill, cap, keep first, then every feature family."""
-    return gold.gold_daily(B.daily_labeled(spark, sf))
+    return gold.gold_daily(B.daily_labeled(spark, sf), order=["cycle"])
 
 
 # --------------------------------------------------------------------- hourly

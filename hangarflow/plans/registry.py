@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -19,17 +19,19 @@ def present(df: DataFrame, digits: int = 6) -> DataFrame:
     The tiny shift settles values that lie exactly between two roundings, where
     a last-bit difference in a sum would otherwise decide.
     """
-    cols = []
+    cols, unit, half = [], 10 ** digits, 0.5 / 10 ** digits
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double") + EPS, digits)
+            d = f"CAST({c} AS DOUBLE)"
+            # Tiny values become a plain zero, never a negative one.
+            c = f"CASE WHEN abs({d}) < {half}D THEN 0D ELSE rint(({d} + {EPS}D) * {unit}D) / {unit}D END"
         elif isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = f"date_format({c}, 'yyyy-MM-dd')"
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, TIME_TEXT)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            c = f"date_format({c}, '{TIME_TEXT}')"
+        cols.append(f"{c} AS `{f.name}`")
+    return df.selectExpr(*cols)
 
 
 def query(name: str, sql: str | None = None):
@@ -48,7 +50,7 @@ def query(name: str, sql: str | None = None):
 
 def out(body: str, dbl: str = "", date: str = "", ts: str = "", big: str = "", views: str = "") -> str:
     """SQL counterpart of :func:`present`; ``views`` is a list of named CTEs."""
-    rep = [f"round({c}::DOUBLE + 1e-9, 6) AS {c}" for c in dbl.split()]
+    rep = [f"CASE WHEN abs({c}::DOUBLE) < 5e-7 THEN 0.0 ELSE round({c}::DOUBLE + 1e-9, 6) END AS {c}" for c in dbl.split()]
     rep += [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in date.split()]
     rep += [f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}" for c in ts.split()]
     rep += [f"{c}::BIGINT AS {c}" for c in big.split()]
