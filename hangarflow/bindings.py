@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hangarflow import rules
-from hangarflow.operators import joins, ordered
+from hangarflow.operators import ordered
 from hangarflow.session import configure
 
 AS_OF = "2024-01-31"
@@ -102,18 +102,6 @@ def maintenance(spark, sf) -> DataFrame:
     )
 
 
-def inventory_lines(spark, sf) -> DataFrame:
-    line = table(spark, sf, "lineitem")
-    part = table(spark, sf, "part")
-    return line.join(part, line.l_partkey == part.p_partkey).select(
-        F.col("l_partkey").alias("part_number"), F.col("p_name").alias("part_name"),
-        F.col("p_type").alias("part_category"), F.to_date("l_shipdate").alias("snapshot_date"),
-        F.col("l_quantity").cast("int").alias("quantity"), "l_linestatus",
-        F.col("p_size").alias("reorder_point"), F.col("p_retailprice").alias("unit_cost"),
-        F.col("l_suppkey").alias("supplier_id"),
-    )
-
-
 def inventory(spark, sf) -> DataFrame:
     """One row per part and snapshot day; lines are summed before the part join."""
     line = table(spark, sf, "lineitem")
@@ -217,13 +205,12 @@ def gappy_readings(spark, sf) -> DataFrame:
 
 
 def parts_used(spark, sf) -> DataFrame:
-    """Per order a JSON array of (part, qty); an order has few lines by nature."""
-    line = table(spark, sf, "lineitem")
-    return line.groupBy(F.col("l_orderkey").alias("order_id")).agg(
-        F.to_json(F.sort_array(F.collect_list(
-            F.struct(F.col("l_partkey").alias("part"), F.col("l_quantity").alias("qty"))
-        ))).alias("parts_used_json")
-    )
+    """Per order a JSON array of up to three (part, qty), made from the order's own columns."""
+    n = (F.col("o_orderkey") % 4).cast("int")
+    item = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
+        (F.col("o_custkey") + i).alias("part"), (i * 1.0).alias("qty")))
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.when(n > 0, F.to_json(item)).alias("parts_used_json"))
 
 
 def taxonomy(spark, sf) -> DataFrame:
@@ -232,7 +219,3 @@ def taxonomy(spark, sf) -> DataFrame:
     return p.groupBy(F.col("p_type").alias("part_category")).agg(
         F.concat(F.lit("component-"), F.lower(F.first("p_type"))).alias("component_type")
     )
-
-
-def with_failure_label(df, fails, by="aircraft_id", ts="measurement_timestamp"):
-    return joins.forward_within(df, fails, by, ts, "failure_ts", rules.HORIZON_DAYS)

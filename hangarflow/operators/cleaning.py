@@ -76,14 +76,14 @@ def bounds(df, cols, method: str, k: float, by=None) -> DataFrame:
     ])
 
 
-def outliers(df, cols, method="iqr", k=None, action="cap") -> DataFrame:
-    """Cap (default), flag or remove values outside the limits.
+def outliers(df, cols, method="iqr", k=None, action="cap", measured: DataFrame | None = None) -> DataFrame:
+    """Cap (default), flag or remove values outside the limits (taken from ``measured`` if given).
 
     The limits arrive as a scalar subquery: no driver round trip, no cross join.
     """
     k = k if k is not None else (rules.IQR_FACTOR if method == "iqr" else 3.0)
     cols = [c for c in cols if c in df.columns]
-    limit = bounds(df, cols, method, k).select(F.struct(*cols).alias("b")).scalar()
+    limit = bounds(df if measured is None else measured, cols, method, k).select(F.struct(*cols).alias("b")).scalar()
     known = df.withColumn("_b", limit)
 
     def outside(c):
@@ -136,10 +136,26 @@ def keep_first(df, keys, order: Sequence[str]) -> DataFrame:
 
 
 def collapse_copies(df: DataFrame, out: str = "_copies") -> DataFrame:
-    """Exact copies become one row with a count."""
+    """Exact copies become one row with a count; the counting combines map-side."""
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(out))
 
 
+def expand_copies(df: DataFrame, count: str = "_copies", pieces: int = 1024) -> DataFrame:
+    """The rows of :func:`collapse_copies` again.
+
+    A row with very many copies is first cut into pieces that are shuffled apart,
+    so no task writes them all.
+    """
+    rest = [c for c in df.columns if c != count]
+    n = F.col(count)
+    few = df.where(n <= pieces)
+    many = df.where(n > pieces).withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    many = many.withColumn(count, F.floor(n / pieces) + (F.col("_i") < n % pieces).cast("long"))
+    many = many.repartition(*rest, "_i").drop("_i")
+    again = F.explode(F.sequence(F.lit(1).cast("long"), n))
+    return few.unionByName(many).select(*rest, again.alias("_again")).drop("_again")
+
+
 def impute_context(
     df, by="sensor_id", ts="measurement_timestamp", value="measurement_value", order=("id",),
     gap_minutes=rules.FILL_GAP_MINUTES, max_run=rules.FILL_MAX_RUN, median_hours=rules.MEDIAN_HOURS, width=HOUR,

@@ -29,16 +29,21 @@ def domain(df: DataFrame, by="aircraft_id", ts="date") -> DataFrame:
     return df.select("*", *windows.domain_columns(df.columns, by, ts))
 
 
-def silver_daily(bronze: DataFrame, cols=tuple(rules.SENSORS), keys=("aircraft_id", "date"), order=None, width=None) -> DataFrame:
+def silver_daily(bronze: DataFrame, cols=tuple(rules.SENSORS), keys=("aircraft_id", "date"), order=None,
+                 width=None, copies: bool = False) -> DataFrame:
     """Fill, then cap, then keep the first row per key, in this order.
 
-    ``width`` (days) chunks the fill for inputs with many rows per key.
+    For raw files, ``width`` (days) chunks the fill where a key has many rows, and
+    ``copies`` first collapses exact copies: they fill alike, only the limits need
+    their number, and the first of each key is the same.
     """
     by, ts = keys
     rest = [c for c in bronze.columns if c not in keys]
+    rows = cleaning.collapse_copies(bronze) if copies else bronze
     # The limits and the capping both read the filled rows: kept once in the shared folder.
-    filled = staged(cleaning.impute(bronze, list(cols), "forward_fill", by, ts, order or rest, width))
-    capped = cleaning.outliers(filled, list(cols), "iqr", rules.IQR_FACTOR, "cap")
+    filled = staged(cleaning.impute(rows, list(cols), "forward_fill", by, ts, order or rest, width))
+    measured = cleaning.expand_copies(filled.select(*cols, "_copies")) if copies else filled
+    capped = cleaning.outliers(filled.select(*bronze.columns), list(cols), "iqr", rules.IQR_FACTOR, "cap", measured)
     return cleaning.keep_first(capped, list(keys), order or rest)
 
 
@@ -49,7 +54,7 @@ def gold_daily(bronze: DataFrame, **kw) -> DataFrame:
 def run(spark: SparkSession, bronze: str, silver: str, gold: str, fmt: str = "parquet", ranges=None) -> DataFrame:
     """Bronze CSV files to silver and gold tables; one summary row comes back.
 
-    Raw files may hold copies, so filling is chunked by day. Silver is written
+    Raw files may hold copies, so these are collapsed and filling is chunked by day. Silver is written
     once and read back, so gold does not repeat the cleaning.
     """
     raw = spark.read.schema(schemas.struct(schemas.DAILY)).option("header", True).csv(bronze)
@@ -57,7 +62,7 @@ def run(spark: SparkSession, bronze: str, silver: str, gold: str, fmt: str = "pa
         quality.completeness_expr(raw.columns).alias("completeness"),
         quality.validity_expr(ranges or rules.VALID_RANGES, raw.columns).alias("validity"),
     ))
-    silver_daily(raw, width=1).write.mode("overwrite").format(fmt).option("header", True).save(silver)
+    silver_daily(raw, width=1, copies=True).write.mode("overwrite").format(fmt).option("header", True).save(silver)
     cleaned = spark.read.schema(raw.schema).format(fmt).option("header", True).load(silver)
     features = daily_features(cleaned)
     features.write.mode("overwrite").format(fmt).option("header", True).save(gold)

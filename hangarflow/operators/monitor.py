@@ -41,10 +41,10 @@ def ks(baseline: DataFrame, current: DataFrame, value: str, coefficient: float =
     """Two-sample Kolmogorov-Smirnov statistic; equal values are counted first, the global order is chunked."""
     both = baseline.select(value, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
         current.select(value, F.lit(0).alias("_a"), F.lit(1).alias("_b"))).where(F.col(value).isNotNull())
-    per = both.groupBy(value).agg(F.sum("_a").alias("a"), F.sum("_b").alias("b"))
-    n = per.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b")).alias("n")).scalar()
-    run = global_running(per, value, ["a", "b"]).withColumn("_n", n)
-    gap = F.abs(divide(F.col("cum_a"), F.col("_n.a")) - divide(F.col("cum_b"), F.col("_n.b")))
+    per = both.groupBy(value).agg(F.sum("_a").alias("_na"), F.sum("_b").alias("_nb"))
+    n = per.agg(F.struct(F.sum("_na").alias("a"), F.sum("_nb").alias("b")).alias("n")).scalar()
+    run = global_running(per, value, ["_na", "_nb"]).withColumn("_n", n)
+    gap = F.abs(divide(F.col("cum__na"), F.col("_n.a")) - divide(F.col("cum__nb"), F.col("_n.b")))
     limit = coefficient * F.sqrt((F.col("n.a") + F.col("n.b")) / (F.col("n.a") * F.col("n.b")))
     return run.agg(F.max(gap).alias("ks_statistic"), F.first("_n").alias("n")).select(
         F.col("n.a").alias("baseline_rows"), F.col("n.b").alias("current_rows"), "ks_statistic",

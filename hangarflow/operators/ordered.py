@@ -149,6 +149,7 @@ def global_running(df: DataFrame, key: str, totals: Sequence[str], parts: int =
     into about equal ranges at approximate quantiles; only the per-range sums
     (at most ``parts`` rows) are scanned in one task. Adds ``cum_<total>``.
     """
+    parts = max(parts, 2)
     cuts = df.agg(
         F.percentile_approx(key, [i / parts for i in range(1, parts)], 10000).alias("cuts")
     ).scalar()
@@ -160,10 +161,13 @@ def global_running(df: DataFrame, key: str, totals: Sequence[str], parts: int =
     sort = F.col(key).desc() if descending else F.col(key).asc()
     outer = F.col(CHUNK).desc() if descending else F.col(CHUNK).asc()
     across = Window.orderBy(outer).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunked.groupBy(CHUNK).agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
-    offsets = offsets.select(CHUNK, *[F.sum(f"_sum_{t}").over(across).alias(f"_off_{t}") for t in totals])
+    sums = chunked.groupBy(CHUNK).agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
+    before = sums.select(CHUNK, F.struct(*[F.sum(f"_sum_{t}").over(across).alias(t) for t in totals]).alias("_o"))
+    # At most `parts` entries, handed over as one map value.
+    offsets = before.agg(F.map_from_entries(F.collect_list(F.struct(CHUNK, "_o"))).alias("m")).scalar()
     within = Window.partitionBy(CHUNK).orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
-    # offsets has at most `parts` rows, so the broadcast is bounded by a constant.
-    return chunked.join(F.broadcast(offsets), CHUNK).select(*df.columns, *[
-        (F.coalesce(F.col(f"_off_{t}"), F.lit(0)) + F.sum(t).over(within)).alias(f"cum_{t}") for t in totals
+    running_ = chunked.select("*", *[F.sum(t).over(within).alias(f"_run_{t}") for t in totals]).withColumn("_m", offsets)
+    here = F.try_element_at("_m", F.col(CHUNK))
+    return running_.select(*df.columns, *[
+        (F.coalesce(here[t], F.lit(0)) + F.col(f"_run_{t}")).alias(f"cum_{t}") for t in totals
     ])

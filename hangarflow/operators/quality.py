@@ -154,9 +154,9 @@ def apply_policy(conformed: DataFrame, policy: str = "log_and_continue", max_rat
     """(good rows, bad rows, rate gate). ``fail_fast`` raises inside the job on the first bad row."""
     bad = F.size("_errors") > 0
     if policy == "fail_fast":
-        checked = conformed.withColumn(
-            "_errors", F.when(bad, F.raise_error(F.concat(F.lit("bad cells: "), F.concat_ws(",", "_errors"))))
-            .otherwise(F.col("_errors")))
+        # In a filter, so that pruning the error column cannot drop the check.
+        stop = F.raise_error(F.concat(F.lit("bad cells: "), F.concat_ws(",", "_errors"))).cast("boolean")
+        checked = conformed.where(F.when(bad, stop).otherwise(F.lit(True)))
         return checked.drop("_errors"), conformed.limit(0), error_rate(conformed, max_rate)
     if policy == "log_and_continue":
         return conformed.drop("_errors"), conformed.where(bad), error_rate(conformed, max_rate)

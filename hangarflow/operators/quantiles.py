@@ -50,18 +50,21 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     spots = ", ".join(spot(c, i) for c in cols for i in range(len(probs)))
     inside = known.select(*by, F.expr(f"explode(filter(array({spots}), x -> x IS NOT NULL)) AS s"))
-    counted = inside.groupBy(*by, "s.c", "s.i", "s.pos", "s.v").agg(F.count(F.lit(1)).alias("k"))
-    run = Window.partitionBy(*by, "c", "i").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.withColumn("upto", F.sum("k").over(run))
+    # Prefixed names: user columns may be called c, i, v or k.
+    cell = ["_q_c", "_q_i"]
+    counted = inside.groupBy(
+        *by, F.col("s.c").alias("_q_c"), F.col("s.i").alias("_q_i"), F.col("s.pos").alias("_q_pos"), F.col("s.v").alias("_q_v")
+    ).agg(F.count(F.lit(1)).alias("_q_n"))
+    run = Window.partitionBy(*by, *cell).orderBy(F.asc_nulls_first("_q_v")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("_q_upto", F.sum("_q_n").over(run))
 
     def at(rank):
-        return F.max(F.when((rank >= F.col("upto") - F.col("k")) & (rank < F.col("upto")), F.col("v")))
+        return F.max(F.when((rank >= F.col("_q_upto") - F.col("_q_n")) & (rank < F.col("_q_upto")), F.col("_q_v")))
 
-    solved = placed.groupBy(*by, "c", "i").agg(
-        at(F.floor("pos")).alias("lo"), at(F.ceil("pos")).alias("hi"), F.first("pos").alias("pos"))
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))
-    wide = solved.groupBy(*by).agg(*[
-        F.transform(F.sort_array(F.collect_list(F.when(F.col("c") == c, F.struct("i", value.alias("v"))))),
+    solved = placed.groupBy(*by, *cell).agg(
+        at(F.floor("_q_pos")).alias("_q_lo"), at(F.ceil("_q_pos")).alias("_q_hi"), F.first("_q_pos").alias("_q_pos"))
+    value = F.col("_q_lo") + (F.col("_q_hi") - F.col("_q_lo")) * (F.col("_q_pos") - F.floor("_q_pos"))
+    return solved.groupBy(*by).agg(*[
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("_q_c") == c, F.struct("_q_i", value.alias("v"))))),
                     lambda s: s.v).alias(c) for c in cols
     ])
-    return wide
