@@ -1,7 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default all), BENCH_RUNS (default 3 timed
-runs after one warm-up, the median counts), BENCH_QUERIES (comma list, default the headline set).
+runs after one warm-up, the median counts), BENCH_BUDGET (seconds, default 420; once a query's share is
+used up it gets one timed run), BENCH_QUERIES (comma list, default the headline set).
 """
 
 from __future__ import annotations
@@ -31,14 +32,18 @@ def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    budget = float(os.environ.get("BENCH_BUDGET", "420"))
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
     spark = build("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
                   spark__driver__memory=os.environ.get("BENCH_MEMORY", "12g"))
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
-    for name in wanted:
+    began = time.perf_counter()
+    for at, name in enumerate(wanted):
         taken = []
         for i in range(runs + 1):
+            if taken and time.perf_counter() - began > budget * (at + 1) / len(wanted):
+                break
             start = time.perf_counter()
             QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
             if i:

@@ -95,5 +95,5 @@ def rolling_rank(spark, sf):
     return daily.select(
         "aircraft_id", "date", "value",
         F.avg("value").over(w.orderBy("date").rowsBetween(-6, 0)).alias("value_7day_avg"),
-        F.rank().over(w.orderBy(F.desc("value"))).alias("value_rank"),
+        F.rank().over(w.orderBy(F.desc("value"))).cast("long").alias("value_rank"),
     )
