@@ -7,7 +7,7 @@ from hangarflow.functions import scalars
 from hangarflow.operators import joins, labels, quality
 from hangarflow.plans.registry import out, query
 from hangarflow.plans.sql_views import S4
-from hangarflow.session import work_dir
+from hangarflow.session import staged, work_dir
 from hangarflow.sources import files, tables
 
 
@@ -174,7 +174,7 @@ def scd2_build(spark, sf):
     ON aircraft_id = l_suppkey AND l_shipdate >= effective_start_date AND l_shipdate < effective_end_date GROUP BY 1, 2, 3""",
     dbl="quantity", views="scd"))
 def scd2_pit(spark, sf):
-    versions = tables.scd2(B.status_changes(spark, sf), "aircraft_id", "changed_at", "status", "change_id")
+    versions = staged(tables.scd2(B.status_changes(spark, sf), "aircraft_id", "changed_at", "status", "change_id"))
     facts = B.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("aircraft_id"), F.col("l_shipdate").cast("timestamp").alias("ts"), "l_quantity")
     at = joins.point_in_time(facts, versions, "aircraft_id", "ts", ["status", "version_number"], width=30 * 86400)

@@ -124,6 +124,8 @@ def scd2(changes: DataFrame, by: str, ts: str, value: str, tie: str, width: int
     once = changes.groupBy(by, ts).agg(F.max_by(value, tie).alias(value))
     stepped = ordered.previous(once, by, ts, {"_before": value, "_seen": ts}, width=width)
     starts = stepped.where(F.col("_seen").isNull() | ~F.col(value).eqNullSafe(F.col("_before"))).select(by, ts, value)
+    # Each scan below reads its input twice; only the real changes are kept for that.
+    starts = staged(starts)
     ends = ordered.nearest_seen(starts, by, ts, {"_end": (F.col(ts), F.lit(True))}, width=width, forward=True, inclusive=False)
     numbered = ordered.row_index(ends, by, ts, "version_number", width=width)
     return numbered.select(
