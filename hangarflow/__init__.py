@@ -1 +1,8 @@
-"""Fleet-sensor maintenance and spare-parts analytics on PySpark."""
+"""Sensor maintenance and spare-parts analytics on Spark."""
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no copy of the package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
