@@ -96,7 +96,7 @@ def near(index: DataFrame, terms: DataFrame, span: int = 30) -> DataFrame:
     """
     once = terms.groupBy("phrase", "term").agg(F.min("off").alias("off"))
     once = once.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("phrase")))
-    order = index.sparkSession.read.parquet(write(ranked(index, once.select("phrase", F.col("n"), "off", "term"))))
+    order = stored(ranked(index, once.select("phrase", F.col("n").cast("int").alias("n"), "off", "term")))
     there = index.where("term <> ''")
     anchor = there.join(order.where("rank = 1"), "term").select("phrase", "n", "doc_id", F.col("pos").alias("at"))
     others = order.where("rank > 1").select("phrase", "term")
