@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from hangarflow import rules
 from hangarflow.functions.scalars import divide
@@ -24,7 +25,9 @@ def training_set(df: DataFrame, use_engineered: bool = True, target: str = "will
 
 
 def _dates(df, ts) -> DataFrame:
-    """One row per date with counts and running position; bounded by the calendar."""
+    """One row per date with counts and running position; bounded by the calendar, so ``ts`` has to be a date."""
+    if not isinstance(df.schema[ts].dataType, T.DateType):
+        raise TypeError(f"{ts} is not a date")
     per = df.groupBy(ts).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(ts)
     return per.select(
@@ -72,8 +75,7 @@ def time_split(df: DataFrame, ts: str = "date", ratios=rules.SPLIT, gap: int = r
     for e in edges:  # a short segment may begin and end inside one date
         mixed = mixed | ((e > F.col("_before")) & (e < F.col("_before") + F.col("_n")))
     dates = dates.withColumn("_mixed", mixed).withColumn("_whole", first)
-    # The calendar bounds this side.
-    tagged = df.join(F.broadcast(dates), ts)
+    tagged = df.join(dates, ts)
     whole = tagged.where(~F.col("_mixed")).select(*df.columns, F.col("_whole").alias("split"))
     ranked = row_index(tagged.where("_mixed"), ts, tie, "_rank", width=width, start=0)
     return whole.unionByName(ranked.select(*df.columns, place(F.col("_before") + F.col("_rank")).alias("split")))
@@ -88,7 +90,7 @@ def ts_folds(df: DataFrame, ts: str = "date", folds: int = rules.CV_FOLDS) -> Da
         role = F.when(F.col("_idx") < start, "train").when(F.col("_idx") < start + size, "test")
         roles.append(F.when(role.isNotNull(), F.struct(F.lit(i).alias("fold"), role.alias("role"))))
     picked = F.explode(F.filter(F.array(*roles), lambda r: r.isNotNull()))
-    return df.join(F.broadcast(_dates(df, ts)), ts).select(*df.columns, picked.alias("_f")).select(*df.columns, "_f.fold", "_f.role")
+    return df.join(_dates(df, ts), ts).select(*df.columns, picked.alias("_f")).select(*df.columns, "_f.fold", "_f.role")
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -167,77 +169,92 @@ def _uniform(*cols):
     return F.pmod(F.xxhash64(*cols), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
 
 
+def smallest_hash(df: DataFrame, n: int, key: Sequence[str], seed: int) -> DataFrame:
+    """Exactly ``n`` of the rows (or all there are), those with the smallest hash of ``key``: the same after any recompute.
+
+    Rows are counted in 2**16 ranges of the hash; the ranges below the cut come whole, only the rows of the
+    one range that holds it are ranked.
+    """
+    hashed = df.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn("_b", F.shiftright("_h", 48))
+    per = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("_b"))  # at most 2**16 rows
+    cut = per.withColumn("upto", upto).where(F.col("upto") >= n).agg(F.min(F.struct("_b", (F.col("upto") - F.col("n")).alias("before"))).alias("c")).scalar()
+    known = hashed.withColumn("_c", cut)
+    below = known.where(F.col("_c").isNull() | (F.col("_b") < F.col("_c._b")))
+    order = Window.partitionBy("_b").orderBy("_h", *key)
+    edge = known.where(F.col("_b") == F.col("_c._b")).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n - F.col("_c.before"))
+    return below.select(*df.columns).unionByName(edge.select(*df.columns))
+
+
+def repeated(df: DataFrame, n: int, have: int, key: Sequence[str], seed: int, out: str) -> DataFrame:
+    """Exactly ``n`` copies of the ``have`` rows, numbered per row in ``out``: as even as possible, odd ones to the smallest hashes."""
+    each, extra = divmod(n, have)
+    more = smallest_hash(df, extra, key, seed).withColumn(out, F.lit(each + 1)) if extra else None
+    even = df.withColumn(out, F.explode(F.sequence(F.lit(1), F.lit(each)))) if each else None
+    return even if more is None else more if even is None else even.unionByName(more)
+
+
 def resample(df: DataFrame, label: str, key: Sequence[str], method: str, ratio: float = 0.5, seed: int = 42) -> DataFrame:
-    """Random under- or over-sampling to minority / majority = ``ratio``, by row hash."""
-    y = F.col(label) == 1
-    counts = df.agg(F.struct(F.count_if(y).alias("p"), F.count_if(~y).alias("q")).alias("n")).scalar()
-    known = df.withColumn("_n", counts)
-    small = F.least("_n.p", "_n.q")
-    large = F.greatest("_n.p", "_n.q")
-    is_small = F.when(F.col("_n.p") <= F.col("_n.q"), y).otherwise(~y)
-    u = _uniform(*key, F.lit(seed))
+    """Random under- or over-sampling to minority / majority = ``ratio`` (rounded to whole rows), by row hash."""
+    y = F.coalesce(F.col(label) == 1, F.lit(False))
+    n = df.agg(F.count_if(y).alias("p"), F.count_if(~y).alias("q")).first()
+    is_small = y if n["p"] <= n["q"] else ~y
+    small, large = sorted((n["p"], n["q"]))
+    few, many = df.where(is_small), df.where(~is_small)
     if method == "under":
-        return known.where(is_small | (u < divide(small, large * ratio))).select(*df.columns)
+        return few.unionByName(smallest_hash(many, min(large, round(small / ratio)), key, seed))
     if method == "over":
-        times = divide(large * ratio, small)
-        copies = F.when(is_small, F.greatest(F.lit(1), F.floor(times + u).cast("int"))).otherwise(1)
-        return known.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select(*df.columns)
+        want = max(small, round(large * ratio))
+        return many.unionByName(repeated(few, want, small, key, seed, "_copy").select(*df.columns)) if small else df
     raise ValueError(f"unknown method {method!r}")
 
 
-def neighbours(points: DataFrame, k: int, chunk_rows: int = 4096) -> DataFrame:
-    """Exact k nearest neighbours of distinct points (id, x array): (id, rank, n_id, n_x).
+def neighbours(points: DataFrame, k: int, tables: int = 12, around: int = 12, seed: int = 42) -> DataFrame:
+    """Near neighbours of distinct points (id, x array): (id, rank, n_id, n_x, d), ``k`` for each if there are so many.
 
-    Rows next to each other along the first axis give an upper bound r on the
-    k-th distance. A band join on that axis then looks at every point within r,
-    so no neighbour is missed and nothing outside the band is compared.
+    Each of ``tables`` random directions puts the points in a row; the ``around`` points before and after are
+    candidates, and the nearest of all tables are kept. So a point meets at most ``2 * around * tables``
+    others, whatever the number of points or features, and no pair is made beyond those. Approximate: see
+    the tests for the recall. A direction's row is cut into ranges at its quantiles, one task each.
     """
-    axis = F.col("x")[0]
-    pts = points.select("id", "x", axis.alias("p"))
-    n = pts.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    parts = max(1, n // chunk_rows)
-    if parts > 1:
-        cuts = pts.agg(F.percentile_approx("p", [i / parts for i in range(1, parts)], 10000).alias("c")).scalar()
-        pts = pts.withColumn("_c", cuts).withColumn("_k", F.size(F.filter("_c", lambda c: c < F.col("p")))).drop("_c")
-    else:
-        pts = pts.withColumn("_k", F.lit(0))
-    w = Window.partitionBy("_k").orderBy("p", "id")
-    around = [F.lag("x", i).over(w) for i in range(1, k + 1)] + [F.lead("x", i).over(w) for i in range(1, k + 1)]
+    facts = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("dims")).first()
+    parts = max(1, min(10_000, facts["n"] // 100_000))
+    rng = random.Random(seed)
 
     def dist(a, b):
         return F.sqrt(F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, d: s + d))
 
-    seeded = pts.select("id", "x", "p", F.array(*around).alias("near"))
-    known = F.sort_array(F.transform(F.filter("near", lambda z: z.isNotNull()), lambda z: dist(F.col("x"), z)))
-    # Fewer than k others in the chunk: no bound, the whole axis is searched.
-    bounded = staged(seeded.select("id", "x", "p", F.try_element_at(known, F.lit(k)).alias("r")))
-    facts = bounded.agg(F.percentile_approx("r", 0.5).alias("w"), F.min("p").alias("lo"), F.max("p").alias("hi")).first()
-    span = max((facts["hi"] or 0.0) - (facts["lo"] or 0.0), 1e-9)
-    width = max(facts["w"] or span, span / 1000, 1e-9)
-    lo, hi = facts["lo"] or 0.0, facts["hi"] or 0.0
-    reach = F.coalesce("r", F.lit(span))
-    cell = lambda v: F.floor((v - F.lit(lo)) / F.lit(width)).cast("long")
-    left = bounded.select("id", "x", "p", reach.alias("r"), F.explode(F.sequence(
-        cell(F.greatest(F.col("p") - reach, F.lit(lo))), cell(F.least(F.col("p") + reach, F.lit(hi))))).alias("cell"))
-    right = bounded.select(F.col("id").alias("n_id"), F.col("x").alias("n_x"), F.col("p").alias("n_p"), cell(F.col("p")).alias("cell"))
-    slack = 1 + 1e-9
-    near = left.join(right, "cell").where(
-        (F.col("id") != F.col("n_id")) & (F.abs(F.col("p") - F.col("n_p")) <= F.col("r") * slack)
-        & ((dist(F.col("x"), F.col("n_x")) <= F.col("r") * slack) | (F.col("r") >= span)))
-    ranked = near.select("id", "n_id", "n_x", dist(F.col("x"), F.col("n_x")).alias("d"))
-    order = Window.partitionBy("id").orderBy("d", "n_id")
-    return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "rank", "n_id", "n_x", "d")
+    met = None
+    for _ in range(tables):
+        way = F.array(*(F.lit(rng.gauss(0.0, 1.0)) for _ in range(facts["dims"] or 1)))
+        p = F.aggregate(F.zip_with("x", way, lambda u, v: u * v), F.lit(0.0), lambda s, d: s + d)
+        pts = points.select("id", "x", p.alias("p"))
+        if parts > 1:
+            cuts = pts.agg(F.percentile_approx("p", [i / parts for i in range(1, parts)], 10 * parts).alias("c")).scalar()
+            pts = pts.withColumn("_c", cuts).withColumn("_k", F.size(F.filter("_c", lambda c: c < F.col("p")))).drop("_c")
+        else:
+            pts = pts.withColumn("_k", F.lit(0))
+        w = Window.partitionBy("_k").orderBy("p", "id")
+        spot = F.struct("id", "x")
+        near = F.filter(F.array(*(f(spot, i).over(w) for i in range(1, around + 1) for f in (F.lag, F.lead))), lambda z: z.isNotNull())
+        best = pts.select("id", "x", near.alias("near")).select(
+            "id", F.slice(F.array_sort(F.transform("near", lambda z: F.struct(dist(F.col("x"), z["x"]).alias("d"), z["id"].alias("n_id")))), 1, k).alias("best"))
+        met = best if met is None else met.unionByName(best)
+    merged = met.select("id", F.explode("best").alias("b")).groupBy("id").agg(F.array_sort(F.collect_set("b")).alias("b"))  # at most k x tables
+    ranked = merged.select("id", F.posexplode(F.slice("b", 1, k)).alias("rank", "b")).select("id", (F.col("rank") + 1).alias("rank"), "b.n_id", "b.d")
+    other = points.select(F.col("id").alias("n_id"), F.col("x").alias("n_x"))
+    return ranked.join(other, "n_id").select("id", "rank", "n_id", "n_x", "d")
 
 
 def smote(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], ratio: float = 1.0,
           k: int = rules.SMOTE_NEIGHBOURS, seed: int = 42) -> DataFrame:
-    """Add synthetic minority rows between a row and one of its k nearest minority rows.
+    """Add synthetic minority rows between a row and one of its k nearest minority rows, to exactly ``ratio`` of the majority.
 
-    Equal feature vectors are one point, so copies do not pair up with each other.
-    Which neighbour and how far is decided by row hash, hence the same on recompute.
-    Output: features, label and ``is_synthetic``.
+    Equal feature vectors are one point, so copies do not pair up with each other; a class with fewer than two
+    distinct vectors is left as it is. Which neighbour and how far is decided by row hash, hence the same
+    on recompute. Output: features, label and ``is_synthetic``.
     """
-    y = F.col(label) == 1
+    y = F.coalesce(F.col(label) == 1, F.lit(False))
     n = df.agg(F.count_if(y).alias("p"), F.count_if(~y).alias("q")).first()
     minority = 1 if n["p"] <= n["q"] else 0
     have, other = (n["p"], n["q"]) if minority == 1 else (n["q"], n["p"])
@@ -249,13 +266,11 @@ def smote(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str]
     rows = df.where(F.col(label) == minority).select(F.xxhash64(*key).alias("row"), vector.alias("x"))
     # Distinct vectors get an id from their content.
     rows = staged(rows.select("row", "x", F.xxhash64("x").alias("id")))
-    points = rows.groupBy("id").agg(F.first("x").alias("x"))
+    points = staged(rows.groupBy("id").agg(F.first("x").alias("x")))
+    if len(points.take(2)) < 2:
+        return original
     found = neighbours(points, k).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("rank", "n_x"))).alias("near"))
-    each, extra = divmod(want, have)
-    # Every row makes `each` rows; `extra` further ones go to the rows with the smallest hash.
-    cut = rows.agg(F.lit(extra / have).alias("u")).scalar()
-    times = F.lit(each) + (_uniform("row", F.lit(seed)) < cut).cast("int")
-    made = rows.join(found, "id").withColumn("copy", F.explode(F.when(times > 0, F.sequence(F.lit(1), times))))
+    made = repeated(rows, want, have, ["row"], seed, "copy").join(found, "id")
     pick = F.element_at("near", (F.floor(_uniform("row", "copy", F.lit(seed + 1)) * F.size("near")) + 1).cast("int"))["n_x"]
     step = _uniform("row", "copy", F.lit(seed + 2))
     blended = made.select(F.zip_with("x", pick, lambda a, b: a + (b - a) * step).alias("x"))

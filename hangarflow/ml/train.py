@@ -34,7 +34,7 @@ def classifier(kind: str, label: str, weight: str | None, rows: int, params: Map
                                       seed=SEED, **common)
     if kind == "random_forest":
         return RandomForestClassifier(
-            numTrees=p.get("n_estimators", 100), maxDepth=min(p.get("max_depth") or 30, 30),
+            numTrees=p.get("n_estimators", 100), maxDepth=p.get("max_depth") or 30,
             minInstancesPerNode=max(p.get("min_samples_leaf", 1), (p.get("min_samples_split", 2) + 1) // 2 if "min_samples_leaf" not in p else 1),
             featureSubsetStrategy=p.get("max_features", "sqrt"), seed=SEED, **common)
     if kind == "xgboost":

@@ -108,7 +108,7 @@ def outlier_score(df, value: str, by, k=rules.IQR_FACTOR, domain=None, kind="sen
     """Flag plus score (distance beyond the quartiles in IQRs) per group, and domain ranges."""
     by = names(by)
     q = exact_quantiles(df, [value], [0.25, 0.75], by).withColumnRenamed(value, "_q")
-    joined = df.join(F.broadcast(q), by, "left")  # one row per category of a fixed list
+    joined = df.join(q, by, "left")
     iqr = F.col("_q")[1] - F.col("_q")[0]
     beyond = F.greatest(F.col("_q")[0] - F.col(value), F.col(value) - F.col("_q")[1], F.lit(0.0))
     in_domain = F.lit(True)
@@ -163,9 +163,9 @@ def impute_context(
     """Short gaps take the last value, longer ones a trailing median; both are marked.
 
     Short: last reading at most ``gap_minutes`` old and at most ``max_run`` empty
-    readings since. Median: of the readings in the ``median_hours`` whole hours
-    before the reading's own hour. It is computed once per sensor-hour that needs
-    it, with values pre-counted per hour, not once per row.
+    readings since. Median: of the readings in [t - ``median_hours``, t). The whole
+    hours of that frame come from values counted per sensor and hour, the two hours
+    at its ends from the readings themselves; only the times in need are looked up.
     """
     from hangarflow.operators.ordered import running
 
@@ -179,18 +179,16 @@ def impute_context(
     hour = F.floor(F.unix_seconds(ts) / HOUR).cast("long")
     marked = seen.withColumn("_short", F.coalesce(short, F.lit(False))).withColumn("_hour", hour)
 
-    # Each sensor-hour in need names its source hours, so only those are read.
-    needed = (
-        marked.where(~ok & ~F.col("_short")).select(*by, "_hour").distinct()
-        .withColumn("_src", F.explode(F.sequence(F.col("_hour") - median_hours, F.col("_hour") - 1)))
-    )
-    counts = df.where(ok).groupBy(*by, hour.alias("_src"), F.col(value).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    medians = (
-        needed.join(counts, [*by, "_src"])
-        .groupBy(*by, "_hour").agg(F.percentile("_v", 0.5, F.col("_n")).alias("_median"))
-    )
-    filled = marked.join(medians, [*by, "_hour"], "left")
+    needed = marked.where(~ok & ~F.col("_short")).select(*by, F.col(ts).alias("_t"), "_hour").distinct()
+    whole = needed.withColumn("_src", F.explode(F.sequence(F.col("_hour") - (median_hours - 1), F.col("_hour") - 1)))
+    counts = df.where(ok).groupBy(*by, hour.alias("_src"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    ends = needed.withColumn("_src", F.explode(F.array(F.col("_hour") - median_hours, F.col("_hour"))))
+    spots = df.where(ok).select(*by, hour.alias("_src"), F.col(ts).alias("_at"), F.col(value).alias("_v"))
+    inside = (F.col("_at") < F.col("_t")) & (F.unix_micros("_at") >= F.unix_micros("_t") - median_hours * HOUR * 1_000_000)
+    values = whole.join(counts, [*by, "_src"]).select(*by, "_t", "_v", "_n").unionByName(
+        ends.join(spots, [*by, "_src"]).where(inside).select(*by, "_t", "_v", F.lit(1).cast("long").alias("_n")))
+    medians = values.groupBy(*by, F.col("_t").alias(ts)).agg(F.percentile("_v", 0.5, F.col("_n")).alias("_median"))
+    filled = marked.join(medians, [*by, ts], "left")
     method = (
         F.when(ok, F.lit(None).cast("string")).when(F.col("_short"), "forward_fill")
         .when(F.col("_median").isNotNull(), "median")

@@ -123,7 +123,8 @@ def kpi(dim: DataFrame, alerts: DataFrame, preds: DataFrame, recs: DataFrame, as
     The published view joins alerts, predictions and keyless recommendations, so
     every aircraft fans out and its average is weighted by alerts. Here each side
     is reduced per aircraft, the weight is carried along, and recommendations,
-    which only multiply all rows alike, are counted on their own.
+    which only multiply all rows alike, are counted on their own. Alerts are counted
+    by their id: a repeated one counts once, though it still weighs on the average.
     """
     today = F.lit(as_of).cast("date")
     fleet = dim.where("is_current").groupBy(by).agg(
@@ -131,10 +132,12 @@ def kpi(dim: DataFrame, alerts: DataFrame, preds: DataFrame, recs: DataFrame, as
     start = today.cast("timestamp")
     a = alerts.where((F.col("alert_timestamp") >= start) & (F.col("alert_timestamp") < start + F.expr("INTERVAL 1 DAY")))
     is_open = F.col("status") == "open"
-    a = a.groupBy(by).agg(
-        F.count(F.lit(1)).alias("alerts"),
-        F.count_if((F.col("severity") == "critical") & is_open).alias("critical"),
-        F.count_if((F.col("severity") == "high") & is_open).alias("high"))
+    flags = a.join(fleet.select(by), by, "left_semi").groupBy("alert_id").agg(
+        F.max(((F.col("severity") == "critical") & is_open).cast("int")).alias("critical"),
+        F.max(((F.col("severity") == "high") & is_open).cast("int")).alias("high"))
+    counted = flags.where("alert_id IS NOT NULL").agg(F.struct(
+        F.count(F.lit(1)).alias("alerts"), F.coalesce(F.sum("critical"), F.lit(0)).alias("critical"), F.coalesce(F.sum("high"), F.lit(0)).alias("high")).alias("c")).scalar()
+    a = a.groupBy(by).agg(F.count(F.lit(1)).alias("alerts"))
     p = preds.where(F.col("prediction_date") == today).groupBy(by).agg(
         F.count("failure_probability").alias("n"), F.sum("failure_probability").alias("s"),
         F.max((F.col("risk_level") == "critical").cast("int")).alias("risk_critical"),
@@ -151,12 +154,12 @@ def kpi(dim: DataFrame, alerts: DataFrame, preds: DataFrame, recs: DataFrame, as
     urgent = urgent.select("part_number").distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
     return joined.agg(
         F.count(F.lit(1)).alias("total_aircraft"), total("active").alias("active_aircraft"),
-        total("critical").alias("critical_alerts_open"), total("high").alias("high_alerts_open"),
-        total("alerts").alias("total_alerts_today"),
         scalars.divide(F.sum(weight * F.col("s")), F.sum(weight * F.col("n"))).alias("avg_failure_probability"),
         total("risk_critical").alias("aircraft_critical_risk"), total("risk_high").alias("aircraft_high_risk"),
-    ).select(
-        today.alias("kpi_date"), "*",
+    ).withColumn("_c", counted).select(
+        today.alias("kpi_date"), "total_aircraft", "active_aircraft", F.col("_c.critical").alias("critical_alerts_open"),
+        F.col("_c.high").alias("high_alerts_open"), F.col("_c.alerts").alias("total_alerts_today"), "avg_failure_probability",
+        "aircraft_critical_risk", "aircraft_high_risk",
         F.when(F.col("total_aircraft") > 0, urgent).otherwise(F.lit(0)).alias("urgent_part_orders"),
     )
 

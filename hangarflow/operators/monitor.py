@@ -21,7 +21,7 @@ def psi(baseline: DataFrame, current: DataFrame, value: str, by: str, bins: int
     cuts = exact_quantiles(baseline, [value], probs, [by]).withColumnRenamed(value, "_cuts")
     both = baseline.select(by, value, F.lit(0).alias("_now")).unionByName(current.select(by, value, F.lit(1).alias("_now")))
     spot = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    binned = both.where(F.col(value).isNotNull()).join(F.broadcast(cuts), by).withColumn("_bin", spot)
+    binned = both.where(F.col(value).isNotNull()).join(cuts, by).withColumn("_bin", spot)
     cells = [(b, now) for b in range(bins) for now in (0, 1)]
     counted = binned.groupBy(by).agg(
         *[F.count_if((F.col("_bin") == b) & (F.col("_now") == now)).alias(f"n{b}_{now}") for b, now in cells],
@@ -88,7 +88,7 @@ def logged(df: DataFrame, sink: Callable[[DataFrame], None], log_path: str, pipe
     try:
         sink(df.observe(seen, F.count(F.lit(1)).alias("n"), bad.alias("bad")))
     except Exception as e:
-        status, error = "failed", str(e)[:2000]
+        status, error = "failed", str(e)
         raise
     finally:
         got = seen.get if status == "completed" else {}

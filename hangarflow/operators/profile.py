@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from hangarflow import rules
 from hangarflow.functions.scalars import divide
-from hangarflow.operators.ordered import names
+from hangarflow.operators.ordered import names, per_entity
 from hangarflow.operators.quantiles import exact_quantiles
 
 
@@ -86,15 +86,13 @@ def life_stats(df, by="engine_id", cycle="cycle", tag=None) -> DataFrame:
 
 
 def dataset_compare(df, tag="dataset", by="engine_id", cycle="cycle", within=rules.RUL_CYCLES) -> DataFrame:
-    """Records, engines, mean life and failure rate per dataset.
-
-    Cycles are 1..life without gaps, so the rows within N of the end follow from each life.
-    """
-    lives = df.groupBy(tag, by).agg(F.max(cycle).alias("life"), F.count(F.lit(1)).alias("n"))
-    late = F.least(F.col("life"), F.lit(within + 1))
+    """Records, engines, mean life and failure rate (share of rows within N cycles of the end) per dataset; cycles may be missing."""
+    known = per_entity(df.select(tag, by, cycle), [tag, by], {"_life": F.max(cycle)})
+    lives = known.groupBy(tag, by).agg(
+        F.max("_life").alias("life"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("_life") - F.col(cycle) <= within).alias("late"))
     return lives.groupBy(tag).agg(
         F.sum("n").alias("records"), F.count(F.lit(1)).alias("engines"), F.avg("life").alias("avg_cycles"),
-        (100 * divide(F.sum(late), F.sum("n"))).alias("failure_rate"),
+        (100 * divide(F.sum("late"), F.sum("n"))).alias("failure_rate"),
     )
 
 

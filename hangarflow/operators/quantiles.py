@@ -32,7 +32,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ]).alias("_s")
     if by:
         # Groups come from a fixed list, so the sketch has a bounded number of rows.
-        known = src.join(F.broadcast(src.groupBy(*by).agg(sketch)), by)
+        known = src.join(src.groupBy(*by).agg(sketch), by)
     else:
         known = src.withColumn("_s", src.agg(sketch).scalar())
 

@@ -193,15 +193,17 @@ def lag_features(readings, keys=("aircraft_id", "sensor_id", "sensor_type")) ->
 
 
 def stat_features(readings, keys=("aircraft_id", "sensor_id", "sensor_type"), ts="measurement_timestamp",
-                  value="measurement_value", bins: int = 10, top: float = 500.0) -> DataFrame:
+                  value="measurement_value", kind="sensor_type", bins: int = 10) -> DataFrame:
     """Coefficient of variation, bias-corrected skewness and kurtosis, and entropy in 24 h.
 
     Hours carry central moments; they are moved to one centre per sensor (the
     first hour's mean) and added over the frame, so 24 hourly rows give the
-    moments of all their readings. Entropy uses ``bins`` equal bins over [0, top).
+    moments of all their readings. Entropy uses ``bins`` equal bins between the least and the
+    greatest value of the sensor's ``kind``, so any unit or range is resolved alike.
     """
-    ok = readings.where(F.col(value).isNotNull())
-    bin_no = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor(F.col(value) / (top / bins)).cast("int")))
+    ok = per_entity(readings.where(F.col(value).isNotNull()), kind, {"_lo": F.min(value), "_hi": F.max(value)})
+    place = F.floor(F.try_divide((F.col(value) - F.col("_lo")) * bins, F.col("_hi") - F.col("_lo"))).cast("int")
+    bin_no = F.least(F.lit(bins - 1), F.coalesce(place, F.lit(0)))
     var = F.var_pop(value)
     hours = ok.groupBy(*keys, F.floor(F.unix_seconds(ts) / 3600).cast("long").alias("hour")).agg(
         F.count(value).cast("double").alias("n"), F.avg(value).alias("mean"), var.alias("v"),

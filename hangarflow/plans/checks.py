@@ -356,8 +356,7 @@ def impute_drop(spark, sf):
         CASE WHEN v IS NOT NULL THEN NULL WHEN short THEN 'forward_fill' WHEN med IS NOT NULL THEN 'median' END AS imputation_method
     FROM (SELECT g.id, g.sensor_id, g.v, g.last_v, coalesce(g.t - g.last_t <= INTERVAL 60 MINUTE AND g.nulls - g.last_nulls <= 5, false) AS short,
             (SELECT median(r.measurement_value) FROM gappy r WHERE r.sensor_id = g.sensor_id
-                AND r.measurement_timestamp >= date_trunc('hour', g.t) - INTERVAL 24 HOUR
-                AND r.measurement_timestamp < date_trunc('hour', g.t)) AS med
+                AND r.measurement_timestamp >= g.t - INTERVAL 24 HOUR AND r.measurement_timestamp < g.t) AS med
         FROM (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER w AS last_t,
                 last_value(v IGNORE NULLS) OVER w AS last_v,
                 last_value(CASE WHEN v IS NOT NULL THEN nulls END IGNORE NULLS) OVER w AS last_nulls

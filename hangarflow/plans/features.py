@@ -144,8 +144,8 @@ def _type_stat(agg):
     {_type_stat('CASE WHEN count(*) > 3 THEN kurtosis(measurement_value) END')} AS kurtosis,
     (SELECT -sum(n / total * ln(n / total)) + 0.0 FROM (SELECT count(*)::DOUBLE AS n, (sum(count(*)) OVER ())::DOUBLE AS total FROM readings r
         WHERE r.sensor_type = g.sensor_type AND r.measurement_timestamp >= g.feature_timestamp - INTERVAL 23 HOUR
-        AND r.measurement_timestamp < g.feature_timestamp + INTERVAL 1 HOUR GROUP BY least(9, floor(measurement_value / 50)))) AS entropy
-    FROM ({_TYPE_HOURS}) g""", dbl="coefficient_of_variation skewness kurtosis entropy", ts="feature_timestamp", views="readings"))
+        AND r.measurement_timestamp < g.feature_timestamp + INTERVAL 1 HOUR GROUP BY coalesce(least(9, floor((measurement_value - g.lo) * 10 / nullif(g.hi - g.lo, 0))), 0))) AS entropy
+    FROM (SELECT * FROM ({_TYPE_HOURS}) JOIN (SELECT sensor_type, min(measurement_value) AS lo, max(measurement_value) AS hi FROM readings GROUP BY 1) USING (sensor_type)) g""", dbl="coefficient_of_variation skewness kurtosis entropy", ts="feature_timestamp", views="readings"))
 def stat_features(spark, sf):
     return windows.stat_features(B.readings(spark, sf), keys=("sensor_type",))
 

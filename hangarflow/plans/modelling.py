@@ -212,11 +212,14 @@ def perm_importance(spark, sf):
 @query("smote")
 def smote(spark, sf):
     """Class counts and means before and after adding synthetic rows."""
-    made = prepare.smote(_frame(spark, sf), FEATURES[:6], LABEL, KEY)
-    return made.groupBy(LABEL, "is_synthetic").agg(F.count(F.lit(1)).alias("records"), *[F.avg(c).alias(f"mean_{c}") for c in FEATURES[:6]])
+    made = prepare.smote(_frame(spark, sf), FEATURES, LABEL, KEY)
+    return made.groupBy(LABEL, "is_synthetic").agg(F.count(F.lit(1)).alias("records"), *[F.avg(c).alias(f"mean_{c}") for c in FEATURES])
 
 
-@query("resample")
+@query("resample", out("""
+    SELECT method, label, CASE WHEN method = 'under' THEN least(p, q) ELSE greatest(p, q) END AS records
+    FROM (SELECT count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label <> 1) AS q FROM scored), (VALUES ('under'), ('over')) m(method),
+        (SELECT DISTINCT label FROM scored)""", big="records", views="scored"))
 def resample(spark, sf):
     d = B.scored(spark, sf)
     made = None
@@ -228,5 +231,5 @@ def resample(spark, sf):
 
 @query("iso_forest")
 def iso_forest(spark, sf):
-    frame = _frame(spark, sf).select(*KEY, *FEATURES[:6])
-    return forest.score_forest(frame, FEATURES[:6], forest.fit_forest(frame, FEATURES[:6], KEY)).select(*KEY, "anomaly_score", "is_anomaly")
+    frame = _frame(spark, sf).select(*KEY, *FEATURES)
+    return forest.score_forest(frame, FEATURES, forest.fit_forest(frame, FEATURES, KEY)).select(*KEY, "anomaly_score", "is_anomaly")

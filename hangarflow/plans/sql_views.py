@@ -89,8 +89,7 @@ VIEWS["filled"] = ("spots", """SELECT id, sensor_id, sensor_type, t AS measureme
     v IS NULL AND (short OR med IS NOT NULL) AS is_imputed,
     CASE WHEN v IS NOT NULL THEN NULL WHEN short THEN 'forward_fill' WHEN med IS NOT NULL THEN 'median' END AS imputation_method
     FROM (SELECT g.*, coalesce(g.t - g.last_t <= INTERVAL 60 MINUTE AND g.nulls - g.last_nulls <= 5, false) AS short,
-        (SELECT median(r.v) FROM std r WHERE r.sensor_id = g.sensor_id AND r.t >= date_trunc('hour', g.t) - INTERVAL 24 HOUR
-            AND r.t < date_trunc('hour', g.t)) AS med FROM spots g)""")
+        (SELECT median(r.v) FROM std r WHERE r.sensor_id = g.sensor_id AND r.t >= g.t - INTERVAL 24 HOUR AND r.t < g.t) AS med FROM spots g)""")
 
 
 def _ff(c, part="aircraft_id", order="date"):

@@ -1,6 +1,8 @@
 """Edge cases: nulls, single rows, ties, empty tables, values on a threshold."""
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -240,7 +242,7 @@ def test_scd2_versions(spark):
 
 def test_kpi_on_empty_dimension(spark):
     dim = spark.createDataFrame([], "aircraft_id int, operational_status string, is_current boolean")
-    alerts = spark.createDataFrame([], "aircraft_id int, alert_timestamp timestamp, severity string, status string")
+    alerts = spark.createDataFrame([], "alert_id string, aircraft_id int, alert_timestamp timestamp, severity string, status string")
     preds = spark.createDataFrame([], "aircraft_id int, prediction_date date, failure_probability double, risk_level string")
     recs = spark.createDataFrame([(day(0), "p", "order", "urgent")],
                                  "recommendation_date date, part_number string, recommendation_type string, recommended_priority string")
@@ -248,28 +250,76 @@ def test_kpi_on_empty_dimension(spark):
     assert row.total_aircraft == 0 and row.avg_failure_probability is None and row.urgent_part_orders == 0
 
 
-def test_neighbours_are_exact(spark):
-    import random
-
-    rng = random.Random(2)
-    pts = [(i, [rng.gauss(0, 1), rng.gauss(0, 1), rng.gauss(0, 3)]) for i in range(200)] + [(999, [50.0, 50.0, 50.0])]
-    df = spark.createDataFrame(pts, "id long, x array<double>")
-    for chunk in (4096, 20):
+def test_neighbours_meet_bounded_candidates(spark):
+    """Recall against brute force, with 6 and 10 features; the candidates of a point don't grow with the rows."""
+    rng = random.Random(7)
+    for dims in (6, 10):
+        centres = [[rng.gauss(0, 3) for _ in range(dims)] for _ in range(8)]
+        pts = [(i, [c + rng.gauss(0, 1) for c in centres[i % 8]]) for i in range(400)]
+        df = spark.createDataFrame(pts, "id long, x array<double>")
         got = {}
-        for r in prepare.neighbours(df, 5, chunk).collect():
-            got.setdefault(r.id, []).append((r["rank"], r.n_id))
-        for i, x in pts:
-            want = sorted((sum((a - b) ** 2 for a, b in zip(x, y)), j) for j, y in pts if j != i)[:5]
-            assert [n for _, n in sorted(got[i])] == [j for _, j in want]
+        for r in prepare.neighbours(df, 5).collect():
+            got.setdefault(r.id, []).append(r.n_id)
+        right = sum(len(set(got[i]) & {j for _, j in sorted((math.dist(x, y), j) for j, y in pts if j != i)[:5]}) for i, x in pts)
+        assert all(len(set(v)) == 5 for v in got.values()) and right >= 0.8 * 5 * len(pts), (dims, right)
 
 
 def test_smote_counts_and_range(spark):
     rows = [(i, float(i), 1.0, int(i < 20)) for i in range(100)]
     df = spark.createDataFrame(rows, "id int, a double, b double, y int")
-    made = prepare.smote(df, ["a", "b"], "y", ["id"]).collect()
-    new = [r for r in made if r.is_synthetic]
-    assert all(r.y == 1 and 0.0 <= r.a <= 19.0 and r.b == 1.0 for r in new)
-    assert 40 <= len(new) <= 80 and len(made) - len(new) == 100
+    for ratio, n in ((1.0, 60), (0.5, 20), (0.9, 52), (0.2, 0)):
+        made = prepare.smote(df, ["a", "b"], "y", ["id"], ratio).collect()
+        new = [r for r in made if r.is_synthetic]
+        assert all(r.y == 1 and 0.0 <= r.a <= 19.0 and r.b == 1.0 for r in new)
+        assert len(new) == n and len(made) - len(new) == 100
+
+
+def test_resampling_is_exact(spark):
+    df = spark.createDataFrame([(i, int(i % 10 < 3), "x") for i in range(1000)], "id int, y int, copy string")
+    for ratio in (0.5, 0.75, 1.0):
+        under = prepare.resample(df, "y", ["id"], "under", ratio).groupBy("y").count().collect()
+        assert {r.y: r["count"] for r in under} == {1: 300, 0: round(300 / ratio)}
+        over = prepare.resample(df, "y", ["id"], "over", ratio)
+        assert {r.y: r["count"] for r in over.groupBy("y").count().collect()} == {1: max(300, round(700 * ratio)), 0: 700}
+        assert over.where("y = 1").groupBy("id").count().agg({"count": "max"}).first()[0] <= 1 + 700 * ratio // 300
+    assert prepare.smallest_hash(df, 5000, ["id"], 1).count() == 1000 and prepare.smallest_hash(df, 0, ["id"], 1).count() == 0
+
+
+def test_median_reaches_back_24_hours_from_the_reading(spark):
+    base = dt.datetime(2024, 1, 2, 10, 0)
+    rows = [(i, "s", base + dt.timedelta(minutes=m), v) for i, (m, v) in enumerate([(0, 0.0), (5, 1.0), (10, 2.0), (11, None), (100, None), (24 * 60 + 6, None), (24 * 60 + 10, None)])]
+    # The short gap is switched off, so every null takes the median of [t - 24 h, t).
+    df = spark.createDataFrame(rows, "id int, sensor_id string, measurement_timestamp timestamp, measurement_value double")
+    got = {r.id: r.measurement_value for r in cleaning.impute_context(df, gap_minutes=-1).collect()}
+    assert [got[i] for i in range(3, 7)] == [1.0, 1.0, 2.0, 2.0]
+    got = {r.id: (r.measurement_value, r.imputation_method) for r in cleaning.impute_context(df).collect()}
+    assert got[3] == (2.0, "forward_fill") and got[4] == (1.0, "median")
+
+
+def test_entropy_follows_the_range_of_the_kind(spark):
+    base = dt.datetime(2024, 1, 2, 10, 0)
+    rows = [(1, "rpm", base + dt.timedelta(minutes=i), 2000.0 + 200 * (i % 10)) for i in range(50)] + [(1, "flat", base, 7.0)]
+    df = spark.createDataFrame(rows, "aircraft_id int, sensor_type string, measurement_timestamp timestamp, measurement_value double")
+    got = {r.sensor_type: r.entropy for r in windows.stat_features(df, keys=("sensor_type",)).collect()}
+    assert abs(got["rpm"] - math.log(10)) < 1e-9 and got["flat"] == 0.0
+
+
+def test_dataset_compare_with_missing_cycles(spark):
+    df = spark.createDataFrame([("a", 1, c) for c in (1, 2, 3, 100, 101)], "dataset string, engine_id int, cycle int")
+    assert profile.dataset_compare(df).first().failure_rate == 40.0
+
+
+def test_kpi_counts_an_alert_once(spark):
+    day = dt.date(2024, 1, 2)
+    dim = spark.createDataFrame([(1, "active", True), (2, "active", True)], "aircraft_id int, operational_status string, is_current boolean")
+    at = dt.datetime(2024, 1, 2, 3)
+    alerts = spark.createDataFrame([("a", 1, at, "critical", "open")] * 2 + [("b", 2, at, "high", "closed"), ("c", 3, at, "high", "open")],
+                                   "alert_id string, aircraft_id int, alert_timestamp timestamp, severity string, status string")
+    preds = spark.createDataFrame([(1, day, 0.9, "critical"), (2, day, 0.3, "low")], "aircraft_id int, prediction_date date, failure_probability double, risk_level string")
+    recs = spark.createDataFrame([(day, "order", "urgent", 5)], "recommendation_date date, recommendation_type string, recommended_priority string, part_number int")
+    row = decisions.kpi(dim, alerts, preds, recs, "2024-01-02").first()
+    assert (row.total_alerts_today, row.critical_alerts_open, row.high_alerts_open) == (2, 1, 0)
+    assert abs(row.avg_failure_probability - (2 * 0.9 + 0.3) / 3) < 1e-12
 
 
 def test_whitespace_scan_and_run(spark):
