@@ -64,28 +64,42 @@ def threshold_alerts(readings: DataFrame, table=None, by="aircraft_id", ts="meas
     )
 
 
+def _due(preds: DataFrame, as_of: str, p="failure_probability", day="prediction_date", cut=0.5) -> DataFrame:
+    today = F.lit(as_of).cast("date")
+    return preds.where((F.col(day) > F.date_sub(today, rules.HORIZON_DAYS)) & (F.col(day) <= today) & (F.col(p) >= cut))
+
+
+def related_aircraft(preds: DataFrame, as_of: str, slot: str, by="aircraft_id") -> DataFrame:
+    """One row per slot and aircraft that is due: how many predictions say so."""
+    return _due(preds, as_of).groupBy(slot, by).agg(F.count(F.lit(1)).alias("predictions"))
+
+
+def aircraft_lists(related: DataFrame, slot: str, by="aircraft_id") -> DataFrame:
+    """The aircraft of each slot, sorted, as one text; a slot's part of the fleet bounds it."""
+    return related.groupBy(slot).agg(
+        F.count(F.lit(1)).alias("aircraft"),
+        F.concat_ws(",", F.transform(F.sort_array(F.collect_set(by)), lambda a: a.cast("string"))).alias("related_aircraft_list"))
+
+
 def recommend(preds: DataFrame, stock: DataFrame, as_of: str, downtime_saving, slot: str,
-              p="failure_probability", by="aircraft_id", day="prediction_date", cut=0.5) -> DataFrame:
+              p="failure_probability", day="prediction_date", cut=0.5) -> DataFrame:
     """Order, expedite, reduce or leave each part, from predicted demand and its latest snapshot.
 
     ``slot`` is the column (in both frames) that links aircraft and parts.
-    Predictions are reduced per slot before they meet the parts. The aircraft
-    list holds each aircraft of the slot once, so the fleet bounds it.
+    Predictions are reduced per slot before they meet the parts. Which aircraft a
+    recommendation is about is the same for all parts of a slot, so it is a table of
+    its own, by slot (:func:`related_aircraft`), not a list repeated for each part.
     ``downtime_saving`` is the mean corrective minus the mean preventive cost.
     """
     today = F.lit(as_of).cast("date")
-    due = preds.where((F.col(day) > F.date_sub(today, rules.HORIZON_DAYS)) & (F.col(day) <= today) & (F.col(p) >= cut))
-    demand = due.groupBy(slot).agg(
-        F.count(F.lit(1)).cast("int").alias("predicted_demand_7d"),
-        F.concat_ws(",", F.transform(F.sort_array(F.collect_set(by)), lambda a: a.cast("string"))).alias("related_aircraft_list"),
-    )
+    demand = _due(preds, as_of, p, day, cut).groupBy(slot).agg(F.count(F.lit(1)).cast("int").alias("predicted_demand_7d"))
     d7 = F.coalesce(F.col("predicted_demand_7d"), F.lit(0))
     base = stock.join(demand, slot, "left").select(
         "part_number", "part_name", F.col("quantity_on_hand").alias("current_quantity"),
         F.col("quantity_reserved").alias("current_reserved"), F.col("quantity_available").alias("current_available"),
         "reorder_point", "unit_cost", d7.alias("predicted_demand_7d"),
         F.round(d7 * 30 / 7).cast("int").alias("predicted_demand_30d"), d7.alias("related_predictions_count"),
-        F.coalesce("related_aircraft_list", F.lit("")).alias("related_aircraft_list"),
+        F.col(slot).alias("slot"),
     )
     have, d30, point = F.col("current_available"), F.col("predicted_demand_30d"), F.col("reorder_point")
     status = scalars.stock_status(have, point)
@@ -102,7 +116,7 @@ def recommend(preds: DataFrame, stock: DataFrame, as_of: str, downtime_saving, s
         quantity.alias("recommended_order_quantity"),
         F.when((t == "expedite") | (have <= 0), "urgent").when(have <= point, "high").when(t == "order", "normal")
         .otherwise("low").alias("recommended_priority"),
-        "related_predictions_count", "related_aircraft_list",
+        "related_predictions_count", "slot",
         F.when(d30 > 0, F.date_add(today, F.floor(have * 30 / d30).cast("int"))).alias("expected_stockout_date"),
         (quantity * F.col("unit_cost")).alias("estimated_cost"),
         (F.col("predicted_demand_7d") * downtime_saving).alias("potential_downtime_cost_avoided"),

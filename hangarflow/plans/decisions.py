@@ -37,16 +37,16 @@ VIEWS["alerts_t"] = ("readings", """SELECT sha256(id || '|' || rule) AS alert_id
     FROM readings JOIN (VALUES ('temperature_critical', 'temperature', 150.0::DOUBLE, 'critical'), ('vibration_high', 'vibration', 80.0::DOUBLE, 'high')) r(rule, kind, threshold, severity)
     ON kind = sensor_type AND measurement_value >= threshold""")
 VIEWS["gap"] = ("maintenance", """SELECT avg(cost_usd) FILTER (WHERE maintenance_type = 'corrective') AS c, avg(cost_usd) FILTER (WHERE maintenance_type = 'preventive') AS p FROM maintenance""")
-VIEWS["demand"] = ("preds", f"""SELECT slot, sum(n)::INTEGER AS d7, string_agg(aircraft_id::VARCHAR, ',' ORDER BY aircraft_id) AS aircraft FROM
+VIEWS["demand"] = ("preds", f"""SELECT slot, count(*) AS n_aircraft, sum(n)::INTEGER AS d7, string_agg(aircraft_id::VARCHAR, ',' ORDER BY aircraft_id) AS aircraft FROM
     (SELECT aircraft_id % 40 AS slot, aircraft_id, count(*) AS n FROM preds WHERE failure_probability >= 0.5 AND prediction_date > DATE '{TODAY}' - 7
         AND prediction_date <= DATE '{TODAY}' GROUP BY 1, 2) GROUP BY 1""")
-VIEWS["recs0"] = ("latest_stock demand", """SELECT s.*, coalesce(d7, 0) AS d7, round(coalesce(d7, 0) * 30 / 7.0::DOUBLE)::INTEGER AS d30, coalesce(aircraft, '') AS aircraft,
-    quantity_available AS a, reorder_point AS rp FROM latest_stock s LEFT JOIN demand ON slot = part_number % 40""")
+VIEWS["recs0"] = ("latest_stock demand", """SELECT s.*, coalesce(d7, 0) AS d7, round(coalesce(d7, 0) * 30 / 7.0::DOUBLE)::INTEGER AS d30, 
+    quantity_available AS a, reorder_point AS rp FROM latest_stock s LEFT JOIN demand ON demand.slot = part_number % 40""")
 VIEWS["recs1"] = ("recs0", """SELECT *, CASE WHEN a < d7 THEN 'expedite' WHEN a - d30 < rp THEN 'order' WHEN a > 0 AND a > rp * 3 AND d30 = 0 THEN 'reduce' ELSE 'no_action' END AS kind FROM recs0""")
 VIEWS["recs"] = ("recs1 gap", f"""SELECT DATE '{TODAY}' AS recommendation_date, part_number, part_name, quantity_on_hand AS current_quantity, quantity_reserved AS current_reserved,
     a AS current_available, d7 AS predicted_demand_7d, d30 AS predicted_demand_30d, kind AS recommendation_type, greatest(0, d30 + rp - a) AS recommended_order_quantity,
     CASE WHEN kind = 'expedite' OR a <= 0 THEN 'urgent' WHEN a <= rp THEN 'high' WHEN kind = 'order' THEN 'normal' ELSE 'low' END AS recommended_priority,
-    d7 AS related_predictions_count, aircraft AS related_aircraft_list,
+    d7 AS related_predictions_count, part_number % 40 AS slot,
     CASE WHEN d30 > 0 THEN DATE '{TODAY}' + floor(a * 30 / d30::DOUBLE)::INTEGER END AS expected_stockout_date,
     greatest(0, d30 + rp - a) * unit_cost AS estimated_cost, d7 * (gap.c - gap.p) AS potential_downtime_cost_avoided FROM recs1, gap""")
 
@@ -72,8 +72,17 @@ def alerts_threshold(spark, sf):
     return decisions.threshold_alerts(B.readings(spark, sf))
 
 
+def _slotted(spark, sf):
+    return _preds(spark, sf).withColumn("slot", F.col("aircraft_id") % B.SLOTS)
+
+
+@query("inv_aircraft", out("SELECT slot, n_aircraft AS aircraft, aircraft AS related_aircraft_list FROM demand", views="demand"))
+def inv_aircraft(spark, sf):
+    return decisions.aircraft_lists(decisions.related_aircraft(_slotted(spark, sf), TODAY, "slot"), "slot")
+
+
 def _recs(spark, sf):
-    preds = _preds(spark, sf).withColumn("slot", F.col("aircraft_id") % B.SLOTS)
+    preds = _slotted(spark, sf)
     stock = gold.latest_stock(B.inventory(spark, sf)).withColumn("slot", F.col("part_number") % B.SLOTS)
     return decisions.recommend(preds, stock, TODAY, decisions.cost_gap(B.maintenance(spark, sf)), "slot")
 
