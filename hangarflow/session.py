@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SCRATCH_CONF = "hangarflow.scratch"
 
 
 def build(app: str = "hangarflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,12 +37,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder under the shared checkpoint folder of the cluster.
+    """A fresh folder under the shared checkpoint folder of the cluster, or under the open :func:`scratch`.
 
     Only a local-mode session without that setting (tests) may fall back to the
     machine's own temporary folder: executors elsewhere could not read it back.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
+    base = spark.conf.get(SCRATCH_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
@@ -49,12 +51,23 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut lineage through a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_dir(spark))
-    return df.checkpoint(eager=True)
+@contextmanager
+def scratch(spark: SparkSession):
+    """A scope for intermediate tables: all folders that operators make inside are deleted at its end.
+
+    Results that are to stay must be written elsewhere before, for frames are lazy and may read those folders.
+    """
+    outer, path = spark.conf.get(SCRATCH_CONF, None), work_dir(spark)
+    spark.conf.set(SCRATCH_CONF, path)
+    try:
+        yield path
+    finally:
+        if outer:
+            spark.conf.set(SCRATCH_CONF, outer)
+        else:
+            spark.conf.unset(SCRATCH_CONF)
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def staged(df):
