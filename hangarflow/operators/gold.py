@@ -85,7 +85,8 @@ def anomaly_flag(df: DataFrame, value: str, by: str, contamination=rules.CONTAMI
     q = staged(exact_quantiles(df, [value], [0.25, 0.5, 0.75], [by]).withColumnRenamed(value, "_q"))
     spread = (F.col("_q")[2] - F.col("_q")[0]) / 1.349
     z = F.abs(F.col(value) - F.col("_q")[1]) / (spread + 1e-6)
-    scored = df.join(q, by, "left").select(*df.columns, (z / (z + 1)).alias("anomaly_score"))
+    # The limit reads the scores several times, as do callers: scored once.
+    scored = staged(df.join(q, by, "left").select(*df.columns, (z / (z + 1)).alias("anomaly_score")))
     limit = exact_quantiles(scored, ["anomaly_score"], [1 - contamination]).select(F.col("anomaly_score")[0]).scalar()
     return scored.withColumn("_limit", limit).select(
         *df.columns, "anomaly_score", (F.col("anomaly_score") > F.col("_limit")).alias("is_anomaly"))

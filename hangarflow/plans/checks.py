@@ -454,9 +454,7 @@ def cleaning_log(spark, sf):
         return F.coalesce(F.sum(F.col(cols[0]).isNull().cast("long") + F.col(cols[1]).isNull().cast("long")), F.lit(0))
 
     def entry(op, detail, before, after):
-        # Both sides are one-row aggregates, joined on the step name.
-        left = before.select(F.lit(op).alias("operation"), F.lit(detail).alias("detail"), F.col("n").alias("before_count"))
-        return left.join(after.select(F.lit(op).alias("operation"), F.col("n").alias("after_count")), "operation")
+        return before.select(F.lit(op).alias("operation"), F.lit(detail).alias("detail"), F.col("n").alias("before_count"), after.scalar().alias("after_count"))
 
     n = F.count(F.lit(1)).alias("n")
     return (

@@ -75,7 +75,8 @@ def _scaled_sql(method):
 def scale(spark, sf):
     """All rows scaled with the statistics of the training part only."""
     d = B.daily_labeled(spark, sf).select("aircraft_id", "date", *_C3)
-    fit_on = prepare.time_split(d, mode="rows", width=1_000_000).where("split = 'train'")
+    split = staged(prepare.time_split(d, mode="rows", width=1_000_000))  # each method reads it
+    fit_on, d = split.where("split = 'train'"), split.drop("split")
     made = None
     for m in ("standard", "minmax", "robust"):
         one = prepare.scale(fit_on, d, _C3, m).select(F.lit(m).alias("method"), "*")

@@ -13,12 +13,16 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["kpi_summary", "outlier_iqr", "scd2_pit", "asof_since", "inv_recommend", "fleet_join", "drift_psi", "drift_ks"])
+@pytest.mark.parametrize("name", ["kpi_summary", "outlier_iqr", "cleaning_log", "inv_aircraft", "scd2_pit", "asof_since", "inv_recommend", "fleet_join", "drift_psi", "drift_ks"])
 def test_no_cross_joins(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_scaling_reads_the_split_once(spark):
+    assert plan(QUERIES["scale"](spark, SF)).count("Scan parquet") <= 16
+
+
 def test_feature_windows_share_one_exchange(spark):
     wide = B.daily_wide(spark, SF)
     base = plan(wide).count("Exchange hashpartitioning")
