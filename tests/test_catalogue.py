@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from hangarflow.plans import catalogue
 from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
-WITH_SQL = sorted(entry.oracle_sql())
-ROWS_ONLY = sorted(set(entry.queries()) - set(entry.oracle_sql()))
+WITH_SQL = sorted(catalogue.SQL)
+ROWS_ONLY = sorted(set(catalogue.QUERIES) - set(catalogue.SQL))
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +32,8 @@ def test_entry_has_87_columns(spark):
     df = entry.entry(spark)
     assert len(df.columns) == 87
     assert df.count() > 0
+
+
+def test_entry_registers_the_whole_catalogue():
+    assert set(catalogue.QUERIES) <= set(entry.queries()) and set(catalogue.SQL) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
