@@ -14,13 +14,10 @@ from hangarflow.operators.profile import correlations
 from hangarflow.operators.quantiles import exact_quantiles
 from hangarflow.session import staged
 
-NOT_FEATURES = ["aircraft_id", "date", "cycle", "failed", "days_to_failure", "will_fail_7days"]
-BASIC = ["temperature", "vibration", "pressure", "rpm", "altitude", "ambient_temp", "flight_hours"]
-
 
 def training_set(df: DataFrame, use_engineered: bool = True, target: str = "will_fail_7days"):
     """(rows without nulls, feature names, target)."""
-    features = [c for c in df.columns if c not in NOT_FEATURES] if use_engineered else BASIC
+    features = [c for c in df.columns if c not in rules.NOT_FEATURES] if use_engineered else rules.BASIC_FEATURES
     return df.dropna(subset=[*features, target]), features, target
 
 

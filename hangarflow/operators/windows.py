@@ -107,7 +107,7 @@ def minmax(df, cols, by="engine_id") -> DataFrame:
 
 def hourly_grid(readings: DataFrame, keys=("aircraft_id", "sensor_id", "sensor_type"),
                 ts="measurement_timestamp", value="measurement_value") -> DataFrame:
-    """Per sensor and hour: count, last value and central moments, all mergeable."""
+    """Per sensor and hour: count, last value (of two at one time the greater) and central moments, all mergeable."""
     ok = F.col(value).isNotNull()
     return (
         readings.where(ok)
@@ -116,7 +116,7 @@ def hourly_grid(readings: DataFrame, keys=("aircraft_id", "sensor_id", "sensor_t
             F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"),
             (F.var_pop(value) * F.count(value)).alias("m2"),
             F.min(value).alias("low"), F.max(value).alias("high"),
-            F.max_by(value, F.struct(ts)).alias("value_current"),
+            F.max_by(value, F.struct(ts, value)).alias("value_current"),
         )
     )
 
@@ -146,13 +146,12 @@ def merged_std(w) -> Column:
 def hourly_features(readings: DataFrame, keys=("aircraft_id", "sensor_id", "sensor_type")) -> DataFrame:
     """Rolling statistics and rates of change per sensor-hour over time frames."""
     grid = shifted(hourly_grid(readings, keys), keys)
-    day = _over_hours(keys, 24)
     past = Window.partitionBy(*keys).orderBy("hour")
     cols = [F.col("value_current")]
     for h in rules.HOURLY_WINDOWS:
         w = _over_hours(keys, h)
-        cols += [merged_mean(w).alias(f"value_mean_{h}h"), merged_std(w).alias(f"value_std_{h}h")]
-    cols += [F.min("low").over(day).alias("value_min_24h"), F.max("high").over(day).alias("value_max_24h")]
+        cols += [merged_mean(w).alias(f"value_mean_{h}h"), merged_std(w).alias(f"value_std_{h}h"),
+                 F.min("low").over(w).alias(f"value_min_{h}h"), F.max("high").over(w).alias(f"value_max_{h}h")]
     for h in (1, 6):
         before = F.last("value_current").over(past.rangeBetween(Window.unboundedPreceding, -h))
         cols.append((F.col("value_current") - before).alias(f"rate_of_change_{h}h"))

@@ -90,17 +90,17 @@ def _frame_stat(agg, h):
 
 
 _stats = ", ".join(
-    f"{_frame_stat('avg(measurement_value)', h)} AS value_mean_{h}h, {_frame_stat('stddev_samp(measurement_value)', h)} AS value_std_{h}h"
+    f"{_frame_stat('avg(measurement_value)', h)} AS value_mean_{h}h, {_frame_stat('stddev_samp(measurement_value)', h)} AS value_std_{h}h, "
+    f"{_frame_stat('min(measurement_value)', h)} AS value_min_{h}h, {_frame_stat('max(measurement_value)', h)} AS value_max_{h}h"
     for h in rules.HOURLY_WINDOWS)
 _roc = ", ".join(
     f"value_current - last_value(value_current) OVER (PARTITION BY {_K} ORDER BY feature_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL {h} HOUR PRECEDING) AS rate_of_change_{h}h"
     for h in (1, 6))
 
 
-@query("hourly_features", out(f"""SELECT {_K}, feature_timestamp, value_current, {_stats},
-    {_frame_stat('min(measurement_value)', 24)} AS value_min_24h, {_frame_stat('max(measurement_value)', 24)} AS value_max_24h, {_roc} FROM hours g""",
-    dbl="value_current value_min_24h value_max_24h rate_of_change_1h rate_of_change_6h " + " ".join(
-        f"value_mean_{h}h value_std_{h}h" for h in rules.HOURLY_WINDOWS), ts="feature_timestamp", views="hours readings"))
+@query("hourly_features", out(f"""SELECT {_K}, feature_timestamp, value_current, {_stats}, {_roc} FROM hours g""",
+    dbl="value_current rate_of_change_1h rate_of_change_6h " + " ".join(
+        f"value_mean_{h}h value_std_{h}h value_min_{h}h value_max_{h}h" for h in rules.HOURLY_WINDOWS), ts="feature_timestamp", views="hours readings"))
 def hourly_features(spark, sf):
     return windows.hourly_features(B.readings(spark, sf))
 

@@ -106,7 +106,7 @@ VIEWS["gold_silver"] = ("gold_fill gold_lim", f"SELECT {_other}, " + ", ".join(
     for c in S4) + " FROM gold_fill, gold_lim")
 _KEYS = "aircraft_id, sensor_id, sensor_type"
 VIEWS["hours"] = ("readings", f"""SELECT {_KEYS}, date_trunc('hour', measurement_timestamp) AS feature_timestamp,
-    arg_max(measurement_value, measurement_timestamp) AS value_current, avg(measurement_value) AS mean FROM readings
+    arg_max(measurement_value, (measurement_timestamp, measurement_value)) AS value_current, avg(measurement_value) AS mean FROM readings
     GROUP BY ALL""")
 VIEWS["flagged0"] = ("readings", """SELECT *, abs(measurement_value - q2) / ((q3 - q1) / 1.349::DOUBLE + 1e-6) AS z FROM readings JOIN
     (SELECT sensor_type, quantile_cont(measurement_value, 0.25) AS q1, quantile_cont(measurement_value, 0.5) AS q2,

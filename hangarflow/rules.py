@@ -101,3 +101,7 @@ RETENTION_DAYS = {
 STORAGE_TIERS = [("hot", 30), ("warm", 180)]
 STORAGE_DEFAULT = "cold"
 OPEN_END = "9999-12-31"
+
+# Columns that no model is trained on, and the set without engineered ones.
+NOT_FEATURES = ["aircraft_id", "date", "cycle", "failed", "days_to_failure", "will_fail_7days"]
+BASIC_FEATURES = ["temperature", "vibration", "pressure", "rpm", "altitude", "ambient_temp", "flight_hours"]

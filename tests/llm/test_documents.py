@@ -139,6 +139,34 @@ def test_minhash_links_across_labels(spark):
     assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()} == dict(zip((d for d, _ in rows), component))
 
 
+def test_minhash_splits_long_lists(spark):
+    """Documents that share a frequent line, with near copies among them: split lists find the same groups."""
+    import random
+
+    rng = random.Random(3)
+    line = [f"l{i}" for i in range(14)]
+    rows = []
+    for i in range(60):
+        w = line + [f"o{i}_{j}" for j in range(10)]
+        rows.append((i, " ".join(w)))
+        if i % 4 == 0:
+            w[rng.randrange(len(w))] = "changed"
+            rows.append((500 - i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, component = jaccard_groups(rows, 80)
+    nodes = minhash.classes(minhash.signatures(docs))
+    for long, few in ((5, 2), (10**6, 0)):
+        edges = minhash.components(minhash.links(docs, nodes, long=long, few=few))
+        ids = {r["node"]: r["id"] for r in nodes.collect()}
+        got = {}
+        for r in edges.collect():
+            got.setdefault(r["component"], set()).add(ids[r["node"]])
+        want = {}
+        for (d, _), c in zip(rows, component):
+            want.setdefault(c, set()).add(d)
+        assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+
+
 def test_components(spark):
     edges = [(i + 1, i) for i in range(20)] + [(40, 35), (40, 36), (41, 36), (50, 50)] + [(100 + i, 200) for i in range(30)]
     got = {r["node"]: r["component"] for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -215,6 +243,8 @@ def test_bpe_equals_the_library(spark):
         ids = own.encode(t or "", add_special_tokens=False).ids
         want[d, len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha(own.decode(ids, skip_special_tokens=False))] += 1
     assert Counter(tuple(r) for r in bpe.digests(bpe.encoded(docs)).collect()) == want
+    apart = docs.select("doc_id", bpe.encode(spark)("text").alias("ids")).select("doc_id", "ids", bpe.decode(spark)("ids").alias("decoded"))
+    assert Counter(tuple(r) for r in bpe.digests(apart).collect()) == want
 
 
 def test_stale_heap_entries():
