@@ -29,7 +29,7 @@ from hangarflow.llm.common import pick, query, table, text_or_empty, tokenizer_f
 #: Most bytes of a vocabulary file that are broadcast.
 MOST_BYTES = 64_000_000
 #: Words whose ids a task remembers; beyond, it starts anew.
-REMEMBER = 300_000
+REMEMBER = 150_000
 #: White space of Unicode, which the pattern engine of the file's format knows as \s.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -162,11 +162,24 @@ def decode(spark: SparkSession, path: str | None = None):
     return text
 
 
+def round_trip(spark: SparkSession, path: str | None = None):
+    """A column function: text to (ids, decoded), both by one worker in one pass."""
+    shared = spark.sparkContext.broadcast(load(path or tokenizer_file()))
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, strings = Encoder(shared.value), shared.value["strings"]
+        for texts in batches:
+            ids = [encoder(t or "") for t in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [decode_ids(i, strings) for i in ids]}, dtype=object)
+
+    return both
+
+
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids, decoded)."""
-    spark = docs.sparkSession
-    ids = pick(docs, "doc_id", "text").select("doc_id", encode(spark, path)(text_or_empty()).alias("ids"))
-    return ids.select("doc_id", "ids", decode(spark, path)("ids").alias("decoded"))
+    both = round_trip(docs.sparkSession, path)(text_or_empty()).alias("both")
+    return pick(docs, "doc_id", "text").select("doc_id", both).select("doc_id", "both.ids", "both.decoded")
 
 
 def digests(out: DataFrame) -> DataFrame:
