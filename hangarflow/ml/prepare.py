@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import random
+import functools
+import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from hangarflow import rules
@@ -206,41 +208,92 @@ def resample(df: DataFrame, label: str, key: Sequence[str], method: str, ratio:
     raise ValueError(f"unknown method {method!r}")
 
 
-def neighbours(points: DataFrame, k: int, tables: int = 12, around: int = 12, seed: int = 42) -> DataFrame:
-    """Near neighbours of distinct points (id, x array): (id, rank, n_id, n_x, d), ``k`` for each if there are so many.
+#: Points to a leaf of the search tree, and levels at most: the tree goes to the executors as one literal.
+LEAF, LEVELS = 128, 12
 
-    Each of ``tables`` random directions puts the points in a row; the ``around`` points before and after are
-    candidates, and the nearest of all tables are kept. So a point meets at most ``2 * around * tables``
-    others, whatever the number of points or features, and no pair is made beyond those. Approximate: see
-    the tests for the recall. A direction's row is cut into ranges at its quantiles, one task each.
+
+def _squared(a, b, dims: int):
+    """Squared distance of two arrays, spelled out so that it compiles."""
+    return functools.reduce(lambda s, d: s + d, [(a[j] - b[j]) * (a[j] - b[j]) for j in range(dims)], F.lit(0.0))
+
+
+def _numbers(values, kind: str):
+    """An array as one constant: a call for each element would take minutes."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
+def _bound(value, body):
+    """``body`` of the constant, which so stands in the plan once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _cuts(sample: np.ndarray, levels: int) -> tuple[list[int], list[float]]:
+    """(axis, cut) of each inner node of a complete k-d tree, the root at 1: halves of the sample along the widest axis."""
+    axis, cut, parts = [0] * (1 << levels), [math.inf] * (1 << levels), {1: sample}
+    for node in range(1, 1 << levels):
+        own = parts.pop(node)
+        if len(own) > 1 and (wide := np.ptp(own, axis=0)).max() > 0:
+            axis[node] = int(wide.argmax())
+            v = own[:, axis[node]]
+            middle = np.sort(v)[(len(v) - 1) // 2]
+            cut[node] = float(middle if middle < v.max() else v[v < middle].max())
+        left = own[:, axis[node]] <= cut[node]
+        parts[2 * node], parts[2 * node + 1] = own[left], own[~left]
+    return axis, cut
+
+
+def neighbours(points: DataFrame, k: int, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
+    """The nearest neighbours of distinct points (id, x array): (id, rank, n_id, n_x, d), ``k`` for each if there are so many; exact.
+
+    A k-d tree over all axes, cut at the medians of a sample, deals the points to leaves of about ``leaf``; it gets
+    deeper as the points grow. The k-th distance among the points of its own leaf bounds a point's search: it meets the points of
+    each leaf whose box (of the real points) is not farther than that, and no other point can be among its
+    nearest. Equal distances go to the lesser id. A null or NaN coordinate counts as 0 here, an infinite one as 1e150.
+
+    Beyond ``2**levels`` leaves the leaves grow, and the bound comes from part of a leaf. How many pairs are compared
+    depends on the data; in many independent dimensions it nears all of them. Only those within the bound are kept.
     """
     facts = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("dims")).first()
-    parts = max(1, min(10_000, facts["n"] // 100_000))
-    rng = random.Random(seed)
-
-    def dist(a, b):
-        return F.sqrt(F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, d: s + d))
-
-    met = None
-    for _ in range(tables):
-        way = F.array(*(F.lit(rng.gauss(0.0, 1.0)) for _ in range(facts["dims"] or 1)))
-        p = F.aggregate(F.zip_with("x", way, lambda u, v: u * v), F.lit(0.0), lambda s, d: s + d)
-        pts = points.select("id", "x", p.alias("p"))
-        if parts > 1:
-            cuts = pts.agg(F.percentile_approx("p", [i / parts for i in range(1, parts)], 10 * parts).alias("c")).scalar()
-            pts = pts.withColumn("_c", cuts).withColumn("_k", F.size(F.filter("_c", lambda c: c < F.col("p")))).drop("_c")
-        else:
-            pts = pts.withColumn("_k", F.lit(0))
-        w = Window.partitionBy("_k").orderBy("p", "id")
-        spot = F.struct("id", "x")
-        near = F.filter(F.array(*(f(spot, i).over(w) for i in range(1, around + 1) for f in (F.lag, F.lead))), lambda z: z.isNotNull())
-        best = pts.select("id", "x", near.alias("near")).select(
-            "id", F.slice(F.array_sort(F.transform("near", lambda z: F.struct(dist(F.col("x"), z["x"]).alias("d"), z["id"].alias("n_id")))), 1, k).alias("best"))
-        met = best if met is None else met.unionByName(best)
-    merged = met.select("id", F.explode("best").alias("b")).groupBy("id").agg(F.array_sort(F.collect_set("b")).alias("b"))  # at most k x tables
-    ranked = merged.select("id", F.posexplode(F.slice("b", 1, k)).alias("rank", "b")).select("id", (F.col("rank") + 1).alias("rank"), "b.n_id", "b.d")
-    other = points.select(F.col("id").alias("n_id"), F.col("x").alias("n_x"))
-    return ranked.join(other, "n_id").select("id", "rank", "n_id", "n_x", "d")
+    dims = facts["dims"] or 0
+    levels = max(0, min(levels, math.ceil(math.log2(max(1, facts["n"] / leaf)))))
+    first, parts = 1 << levels, math.ceil(max(1, facts["n"]) / leaf / (1 << levels))
+    plain = F.transform("x", lambda v: F.greatest(F.least(F.coalesce(F.nanvl(v, F.lit(0.0)), F.lit(0.0)), F.lit(1e150)), F.lit(-1e150)))
+    known = points.select("id", "x", plain.alias("g"))
+    share = min(1.0, 32 * first / max(1, facts["n"]))
+    sample = [r["g"] for r in known.where(_uniform("id", F.lit("sample")) < share).select("g").collect()] if levels else []
+    axis, cut = _cuts(np.array(sample, float).reshape(-1, max(1, dims)), levels)
+    place = _bound(F.struct(_numbers(axis, "int").alias("axis"), _numbers(cut, "double").alias("cut")), lambda t: F.aggregate(
+        F.array(*map(F.lit, range(levels))).cast("array<int>"), F.lit(1), lambda node, _: node * 2 + (F.col("g")[t["axis"][node]] > t["cut"][node]).cast("int")))
+    placed = staged(known.withColumn("leaf", place if levels else F.lit(1)).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))))
+
+    low, high = np.full((2 * first, dims), math.inf), np.full((2 * first, dims), -math.inf)
+    edges = placed.groupBy("leaf").agg(*(f(F.col("g")[j]).alias(f"{n}{j}") for j in range(dims) for n, f in (("a", F.min), ("b", F.max))))
+    for r in edges.collect():
+        low[r["leaf"]], high[r["leaf"]] = [r[f"a{j}"] for j in range(dims)], [r[f"b{j}"] for j in range(dims)]
+    for node in range(first - 1, 0, -1):
+        low[node], high[node] = np.minimum(*low[2 * node:2 * node + 2]), np.maximum(*high[2 * node:2 * node + 2])
+
+    # The bound: the k-th distance in the point's own leaf, or none if that has too few points.
+    cells = placed.groupBy("leaf", "part").agg(F.collect_list(F.struct("id", "g")).alias("cell"))
+    others = F.filter("cell", lambda z: z["id"] != F.col("id"))
+    ranked = F.array_sort(F.transform(others, lambda z: _squared(F.col("g"), z["g"], dims)))
+    bounded = placed.join(cells, ["leaf", "part"]).select("id", "g", F.coalesce(F.get(ranked, F.lit(k - 1)), F.lit(math.inf)).alias("most"))
+
+    def gap(t, node):
+        far = [F.greatest(t["low"][node * dims + j] - F.col("g")[j], F.col("g")[j] - t["high"][node * dims + j], F.lit(0.0)) for j in range(dims)]
+        return functools.reduce(lambda s, d: s + d * d, far, F.lit(0.0))
+
+    boxes = F.struct(_numbers(low.ravel().tolist(), "double").alias("low"), _numbers(high.ravel().tolist(), "double").alias("high"))
+    near = _bound(boxes, lambda t: F.aggregate(
+        F.array(*map(F.lit, range(levels))).cast("array<int>"), F.array(F.lit(1)),
+        lambda nodes, _: F.filter(F.flatten(F.transform(nodes, lambda m: F.array(m * 2, m * 2 + 1))), lambda m: gap(t, m) <= F.col("most"))))
+    visits = staged(bounded).select("id", "g", "most", F.explode(near if levels else F.array(F.lit(1))).alias("leaf"))
+    there = placed.select("leaf", F.col("id").alias("n_id"), F.col("g").alias("n_g"), F.col("x").alias("n_x"))
+    apart = _squared(F.col("g"), F.col("n_g"), dims)
+    met = visits.join(there, (visits["leaf"] == there["leaf"]) & (F.col("id") != F.col("n_id")) & (apart <= F.col("most"))).select("id", "n_id", F.sqrt(apart).alias("d"))
+    order = Window.partitionBy("id").orderBy("d", "n_id")
+    best = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.join(there.select("n_id", "n_x"), "n_id").select("id", "rank", "n_id", "n_x", "d")
 
 
 def smote(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], ratio: float = 1.0,

@@ -264,6 +264,24 @@ def test_neighbours_meet_bounded_candidates(spark):
         assert all(len(set(v)) == 5 for v in got.values()) and right >= 0.8 * 5 * len(pts), (dims, right)
 
 
+def test_neighbours_are_exact(spark):
+    """More points than a fixed number of candidates reaches; whole and part leaves, ties, missing coordinates, few points."""
+    rng = random.Random(8)
+    centres = [[rng.gauss(0, 3) for _ in range(10)] for _ in range(20)]
+    far = [(i, [c + rng.gauss(0, 1) for c in centres[i % 20]]) for i in range(1500)]
+    grid = [(i, [float(i % 12), float(i // 12), None if i == 77 else 1.0]) for i in range(144)]
+    for pts, limits in ((far, {}), (far, {"leaf": 50, "levels": 2}), (grid, {"leaf": 10}), (far[:4], {})):
+        df = spark.createDataFrame(pts, "id long, x array<double>")
+        got = {}
+        for r in prepare.neighbours(df, 5, **limits).orderBy("id", "rank").collect():
+            got.setdefault(r.id, []).append((r.n_id, r.d))
+        plain = [(i, [v or 0.0 for v in x]) for i, x in pts]
+        for i, x in plain:
+            want = sorted((math.dist(x, y), j) for j, y in plain if j != i)[:5]
+            assert [d for _, d in got[i]] == pytest.approx([d for d, _ in want]), (i, limits)
+            assert pts is grid or [j for j, _ in got[i]] == [j for _, j in want]
+
+
 def test_smote_counts_and_range(spark):
     rows = [(i, float(i), 1.0, int(i < 20)) for i in range(100)]
     df = spark.createDataFrame(rows, "id int, a double, b double, y int")
