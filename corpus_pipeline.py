@@ -26,7 +26,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group stays; rows with the same id and text are one document."""
+    """The document with the least id of each group (five-word shingles) stays; rows with the same id and text are one document."""
     judged = stored(minhash.near_duplicates(docs).select("doc_id", "v", "kept"))
     gone = stored(judged.where("NOT kept").select("doc_id", "v").distinct())
     twice = stored(judged.where("kept").groupBy("doc_id", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "v"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hangarflow.llm import bpe, chat, common, decontam, hamming, langid
+from hangarflow.llm import bpe, chat, common, decontam, hamming, langid, minhash
 from hangarflow.llm.queries import QUERIES, SQL
 from tests.compare import compare, connect
 from tests.llm.rows import documents
@@ -107,6 +107,20 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
 
 
+def test_near_duplicates_take_five_words(spark):
+    """Two changed words in sixty: 0.87 on two-word shingles, 0.70 on five."""
+    base = [f"t{i}" for i in range(60)]
+    two, one = list(base), list(base)
+    two[20], two[40], one[30] = "x", "y", "z"
+    rows = [(1, " ".join(base)), (2, " ".join(two)), (3, " ".join(one))]
+    five = {d: {tuple(t.split()[i:i + 5]) for i in range(56)} for d, t in rows}
+    alike = {(a, b) for a in five for b in five if a < b and len(five[a] & five[b]) >= 0.8 * len(five[a] | five[b])}
+    assert alike == {(1, 3)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == {1, 2}
+    assert {r["doc_id"] for r in minhash.near_duplicates(docs, width=2).where("kept").collect()} == {1}
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     assert 0 < out.count() < common.table(spark, SF, "documents").count()
