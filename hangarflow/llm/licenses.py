@@ -60,9 +60,24 @@ RULES = [
     ("MPL-2.0", ["mpl-notice"], 0), ("CC-BY-4.0", ["cc-by-notice"], 0), ("CC-BY-SA-4.0", ["cc-by-sa-notice"], 0),
     ("CC-BY-NC-4.0", ["cc-by-nc-short"], 0), ("ISC", ["isc-grant"], 0), ("Unlicense", ["unlicense"], 0), ("proprietary", ["reserved"], 0),
 ]
+# Beyond the contract of op6: titles, the GPL's notice with a semicolon inside, the head of the Apache licence.
+MORE_SENTENCES = [
+    ("mit-title-3", "the mit license mit"),
+    ("apache-version", "version 2 0 january 2004"),
+    ("apache-head", "apache license version 2 0 january 2004 http www apache org licenses"),
+    ("gpl-terms", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl2-either", "either version 2 of the license or at your option any later version"),
+    ("gpl3-either", "either version 3 of the license or at your option any later version"),
+]
+MORE_RULES = [
+    ("MIT", ["mit-title"], 0), ("MIT", ["mit-title-2"], 0), ("MIT", ["mit-title-3"], 0),
+    ("Apache-2.0", ["apache-title", "apache-version"], 0), ("Apache-2.0", ["apache-head"], 0),
+    ("GPL-2.0", ["gpl-free", "gpl-terms", "gpl2-either"], 0), ("GPL-3.0", ["gpl-free", "gpl-terms", "gpl3-either"], 0),
+]
 #: One character for each sentence; the first stands for a sentence that isn't known.
 CODES = ".ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 BREAK, CUT = r"[.!?;:]+[ \t\r\n]+|[\n|]+", " ?[|]+ ?"
+COMMENT, COMMENT_END = r"(?im)^[ \t]*(?://+|/\*+|\*+/|\*+|#+|;+|--+|<!--|%+|(?:dnl|rem)\b)?[ \t]*", r"(?m)[ \t]*(?:\*+/|-->)?[ \t]*$"
 MARKS = "\t\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{}~"
 FROM, TO = UPPER + MARKS, LOWER + " " * len(MARKS)
 
@@ -73,6 +88,12 @@ def sentences(text: Column) -> Column:
     return F.filter(F.split(F.btrim(marked, F.lit(" |")), CUT, -1), lambda s: s != "")
 
 
+def unwrapped(text: Column) -> Column:
+    """Paragraphs on one line, without the marks of comments; blank lines stay."""
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), COMMENT, ""), COMMENT_END, "")
+    return F.regexp_replace(F.regexp_replace(plain, r"(?<!\n)\n(?!\n)", " "), r"(?i)\bv\. (?=\d)", "v ")
+
+
 def code_string(found: Column, known: list[tuple[str, str]]) -> Column:
     if len(known) >= len(CODES):
         raise ValueError(f"at most {len(CODES) - 1} sentences")
@@ -86,17 +107,24 @@ def rule_pattern(ids: list[str], gap: int, known: list[tuple[str, str]]) -> str:
     return f".{{0,{gap}}}".join(at[i] for i in ids)
 
 
-def scan(docs: DataFrame, known: list[tuple[str, str]] = SENTENCES, rules: list[tuple[str, list[str], int]] = RULES) -> DataFrame:
-    """(doc_id, codes, found): found lists (license, first, sentences), the first place of each rule that holds, counted from 0."""
-    coded = pick(docs, "doc_id", "text").select("doc_id", code_string(sentences(text_or_empty()), known).alias("codes"))
+def scan(docs: DataFrame, known: list[tuple[str, str]] = SENTENCES + MORE_SENTENCES, rules: list[tuple[str, list[str], int]] = RULES + MORE_RULES,
+         wrapped: bool = True) -> DataFrame:
+    """(doc_id, codes, found): found lists (license, first, sentences), the first place of each rule that holds, counted from 0.
+
+    ``codes`` takes each line's end for a sentence's end. With ``wrapped``, a rule that doesn't hold there is tried on the text with its
+    paragraphs unwrapped, and its place is counted in the sentences of that.
+    """
+    texts = [text_or_empty(), unwrapped(text_or_empty())][:1 + wrapped]
+    ways = ["codes", "_unwrapped"][:1 + wrapped]
+    coded = pick(docs, "doc_id", "text").select("doc_id", *(code_string(sentences(t), known).alias(n) for t, n in zip(texts, ways)))
     hits = []
     for name, ids, gap in rules:
         pattern = rule_pattern(ids, gap, known)
         p = F.lit(pattern)
-        hits.append(F.when(F.col("codes").rlike(pattern), F.struct(
-            F.lit(name).alias("license"), (F.regexp_instr("codes", p) - 1).alias("first"), F.length(F.regexp_substr("codes", p)).alias("sentences"))))
+        hits.append(F.coalesce(*(F.when(F.col(c).rlike(pattern), F.struct(
+            F.lit(name).alias("license"), (F.regexp_instr(c, p) - 1).alias("first"), F.length(F.regexp_substr(c, p)).alias("sentences"))) for c in ways)))
     some = F.filter(F.array(*hits), lambda h: h.isNotNull())
-    return coded.select("doc_id", "codes", F.when(F.col("codes").rlike("[^.]"), some).otherwise(F.slice(some, 1, 0)).alias("found"))
+    return coded.select("doc_id", "codes", F.when(F.concat(*ways).rlike("[^.]"), some).otherwise(F.slice(some, 1, 0)).alias("found"))
 
 
 def _oracle() -> str:
@@ -116,7 +144,7 @@ SELECT doc_id, length(codes) AS n_sentences, length(replace(codes, '.', '')) AS
 @query("op6_license_scan", _oracle())
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array_sort(F.array_distinct(F.transform("found", lambda h: h["license"])))
-    return scan(table(spark, sf_dir, "documents")).select(
+    return scan(table(spark, sf_dir, "documents"), SENTENCES, RULES, wrapped=False).select(
         "doc_id", F.length("codes").cast("long").alias("n_sentences"), F.length(F.replace("codes", F.lit("."), F.lit(""))).cast("long").alias("n_known"),
         F.size(names).cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"),
     )

@@ -231,6 +231,56 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    """Verbatim texts in their usual layout: wrapped, in comment blocks, as lists."""
+    mit = """MIT License
+
+Copyright (c) 2024 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+    gpl = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+    isc = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+    mpl = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+    apache = """                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/"""
+    block = lambda t, mark: "\n".join(f"{mark} {x}".rstrip() for x in t.split("\n"))
+    texts = [(mit, {"MIT"}), (mit.split("\n\n", 2)[2], {"MIT"}), ("The MIT License (MIT)\n\nother", {"MIT"}), (gpl.format(":", ",", 3), {"GPL-3.0"}), (gpl.format(";", ";", 2), {"GPL-2.0"}),
+             (bsd, {"BSD-2-Clause", "BSD-3-Clause"}), (bsd.split("\n\n3.")[0], {"BSD-2-Clause"}), (isc, {"ISC"}), (mpl, {"MPL-2.0"}), (apache, {"Apache-2.0"})]
+    rows = [(f(t), want) for t, want in texts for f in (str, lambda t: t.replace("\n", "\r\n"), lambda t: block(t, "#"), lambda t: block(t, "//"), lambda t: "/*\n" + block(t, " *") + "\n */")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: {f["license"] for f in r["found"]} for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [want for _, want in rows]
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
