@@ -69,6 +69,12 @@ def test_chat_round_trip(spark):
     assert chat.template(turns.limit(0)).count() == 0
 
 
+def test_very_long_turns_stay(spark):
+    rows = spark.range(2).selectExpr("1L AS conv_id", "id AS turn", "'assistant' AS role", "repeat('x', if(id = 0, 20500000, 3)) AS text")
+    got = chat.conversation_turns(rows).selectExpr("turn", "at", "role", "length(text) AS n").collect()
+    assert sorted(map(tuple, got)) == [(0, 0, "assistant", 20_500_000), (1, 0, "assistant", 3)]
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, name):
     assert compare(QUERIES[name](spark, SF), connect(SF), SQL[name]) is None
