@@ -26,10 +26,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group (five-word shingles) stays; rows with the same id and text are one document."""
-    judged = stored(minhash.near_duplicates(docs).select("doc_id", "v", "kept"))
-    gone = stored(judged.where("NOT kept").select("doc_id", "v").distinct())
-    twice = stored(judged.where("kept").groupBy("doc_id", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "v"))
+    """One document of each group (five-word shingles) stays, that of the least id, then text hash, null ids last; rows with the same id and text are one document."""
+    judged = stored(minhash.judged(docs).select("doc_id", "v", "stays"))
+    gone = stored(judged.where("NOT stays").select("doc_id", "v").distinct())
+    twice = stored(judged.where("stays").groupBy("doc_id", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "v"))
     names = [f"_{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     doc_id, text = (plain[names[docs.columns.index(n)]] for n in ("doc_id", "text"))

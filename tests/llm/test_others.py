@@ -127,6 +127,17 @@ def test_near_duplicates_take_five_words(spark):
     assert {r["doc_id"] for r in minhash.near_duplicates(docs, width=2).where("kept").collect()} == {1}
 
 
+def test_one_document_of_each_group_stays(spark):
+    """Null ids and ids that several texts have: one (id, text) of each group, none of the groups lost."""
+    near = lambda c: [" ".join([f"{c}{i}" for i in range(60)] + [f"{c}end{j}"]) for j in range(3)]
+    a, b, c, d = map(near, "abcd")
+    rows = [(None, t) for t in a] + [(7, b[0]), (7, b[1]), (8, b[2])] + [(None, c[0]), (9, c[1])] + [(7, d[0]), (7, d[0]), (7, d[1])] + [(None, "alone here"), (None, "")]
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()]
+    groups = Counter("" if not t else t[0] + ("lone" if t.startswith("alone") else "") for _, t in kept)
+    assert groups == {"a": 1, "b": 1, "c": 1, "d": 1, "alone": 1, "": 1} and set(kept) <= set(rows)
+    assert (9, c[1]) in kept and all(i == 7 for i, t in kept if t and t[0] in "bd")
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     assert 0 < out.count() < common.table(spark, SF, "documents").count()
