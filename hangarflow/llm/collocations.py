@@ -12,7 +12,9 @@ another seed is taken. A suffix ends before a word that occurs less than ``least
 it is frequent. Which words those are is kept as one mark for each of 2**22 ranges of codes, whatever the
 corpus; a rare word in the range of a frequent one costs space only. Prefixes over budget are sent to all tasks; as a prefix
 takes more than ``budget`` suffixes, and the budget grows when there are more than 2**20 such shares, they are 2**20 at most
-for each length. Each task first counts equal suffixes of its own, so very frequent phrases arrive as a row from each.
+for each length. Each task first counts equal suffixes of its own, so very frequent phrases arrive as a row from each. Suffixes travel in
+blocks, in order and compressed; words are written as their rank among the 2**20 most frequent ones, others
+as their code, once for each block.
 
 A phrase of two words or more that is frequent is a candidate. Each cut in two gives 1000 * a * n / (l * r), rounded down,
 in decimals of 38 digits; the lowest counts, the first of equal ones. A candidate inside a longer one that is
@@ -26,6 +28,7 @@ part. Extra columns are ignored. An empty table gives no rows. Phrases of equal
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -37,8 +40,8 @@ from hangarflow.llm.common import LOWER, UPPER, pick, query, stored, table
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans((UPPER + "\t" + BREAKS).encode(), (LOWER + " " + "\n" * len(BREAKS)).encode())
 LONGEST, LEAST, TOP, BUDGET = 5, 100, 2000, 1 << 20
-#: Words that a task encodes before it hands them on; marks of frequent words.
-CHUNK, MARKS = 1 << 21, 1 << 22
+#: Words that a task encodes before it hands them on, and distinct ones it remembers; marks of frequent words; words sent as ranks.
+CHUNK, KNOWN, MARKS, RANKS = 1 << 21, 1 << 19, 1 << 22, 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,38 +67,58 @@ def encoded(docs: DataFrame, seed: int) -> DataFrame:
     names = ["lang", "word", "code", "n", "codes", "body"]
     kinds = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-        import zstandard
-
-        held: dict[str, tuple[Numbers, list[np.ndarray]]] = {}
-        many: dict[str, int] = {}
-
-        def rows(size: int, **columns) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(size, t)) for c, t in zip(names, kinds)], names)
-
-        def chunk(lang: str) -> Iterator[pa.RecordBatch]:
-            numbers, parts = held.pop(lang)
-            ids = np.concatenate(parts)
-            words = list(numbers)[2:]
-            head = lang.encode("utf-8", "surrogatepass") + b"\n"
-            codes = np.fromiter((xxhash.xxh3_64_intdigest(head + w, seed) | 1 for w in words), np.uint64, len(words))
-            count = np.bincount(ids, minlength=len(words) + 2)[2:]
-            yield rows(len(words), lang=pa.array([lang] * len(words), pa.string()), word=pa.array(words, pa.binary()), code=pa.array(codes.view(np.int64)), n=pa.array(count))
-            body = zstandard.compress(ids[ids != 1].astype(np.int32).tobytes(), 1)
-            yield rows(1, codes=pa.array([codes.tobytes()], pa.binary()), body=pa.array([body], pa.binary()))
+    def rows(size: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(size, t)) for c, t in zip(names, kinds)], names)
+
+    class Lang:
+        """The words of one language in a task."""
+
+        def __init__(self, lang: str):
+            self.lang, self.head = lang, lang.encode("utf-8", "surrogatepass") + b"\n"
+            self.parts, self.many = [], 0
+            self.forget()
+
+        def forget(self) -> None:
+            self.numbers, self.codes, self.counts = Numbers(), np.zeros(2, np.uint64), np.zeros(2, np.int64)
+
+        def chunk(self) -> pa.RecordBatch:
+            import xxhash
+            import zstandard
+
+            ids = np.concatenate(self.parts)
+            ids, self.parts, self.many = ids[ids != 1], [], 0
+            new = list(islice(self.numbers, len(self.codes), None))
+            codes = np.fromiter((xxhash.xxh3_64_intdigest(self.head + w, seed) | 1 for w in new), np.uint64, len(new))
+            self.codes = np.concatenate([self.codes, codes])
+            self.counts = np.concatenate([self.counts, np.zeros(len(new), np.int64)]) + np.bincount(ids, minlength=len(self.codes))
+            used, local = np.unique(np.concatenate([np.zeros(1, ids.dtype), ids]), return_inverse=True)
+            body = zstandard.compress(local[1:].astype(np.int32).tobytes(), 1)
+            return rows(1, codes=pa.array([self.codes[used[1:]].tobytes()], pa.binary()), body=pa.array([body], pa.binary()))
+
+        def words(self) -> pa.RecordBatch:
+            """The words so far; call after ``chunk``."""
+            some = list(islice(self.numbers, 2, None))
+            out = rows(len(some), lang=pa.array([self.lang] * len(some), pa.string()), word=pa.array(some, pa.binary()),
+                       code=pa.array(self.codes[2:].view(np.int64)), n=pa.array(self.counts[2:]))
+            self.forget()
+            return out
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Lang] = {}
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
+                own = held.get(lang) or held.setdefault(lang, Lang(lang))
                 words = split(text.as_py())
-                numbers, parts = held.setdefault(lang, (Numbers(), []))
-                parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-                many[lang] = many.get(lang, 0) + len(words)
-                if many[lang] >= CHUNK:
-                    many[lang] = 0
-                    yield from chunk(lang)
-        for lang in list(held):
-            yield from chunk(lang)
+                own.parts.append(np.fromiter(map(own.numbers.__getitem__, words), np.int32, len(words)))
+                own.many += len(words)
+                if own.many >= CHUNK:
+                    yield own.chunk()
+                    if len(own.numbers) >= KNOWN:
+                        yield own.words()
+        for own in held.values():
+            if own.parts:
+                yield own.chunk()
+            yield own.words()
 
     return stored(own.mapInArrow(encode, "lang string, word binary, code long, n long, codes binary, body binary"))
 
@@ -105,10 +128,9 @@ def vocabulary(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     seed = 0
     while True:
         made = encoded(docs, seed)
-        one = F.struct("lang", "word")
-        words = stored(made.where("word IS NOT NULL").groupBy("code").agg(F.min(one).alias("one"), F.max(one).alias("other"), F.sum("n").alias("f")))
-        if words.where("one <> other").isEmpty():
-            return words.select("one.*", "code", "f"), made.where("body IS NOT NULL").select("codes", "body")
+        words = stored(made.where("word IS NOT NULL").groupBy("lang", "word", "code").agg(F.sum("n").alias("f")))
+        if words.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            return words, made.where("body IS NOT NULL").select("codes", "body")
         seed += 1
 
 
@@ -120,17 +142,16 @@ def marks(frequent: DataFrame) -> np.ndarray:
     return out
 
 
-def suffixes(codes: bytes, body: bytes, frequent: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct suffixes (rows of codes, 0 after the end) of two words or more in one chunk, in order, and how often each occurs."""
+def suffixes(codes: bytes, body: bytes, frequent: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(own, rows, n): the codes of one chunk, its distinct suffixes of two words or more, in order, as places in ``own`` (0 after the end), and how often each occurs."""
     import zstandard
 
-    own = np.concatenate([np.zeros(2, np.uint64), np.frombuffer(codes, np.uint64)])
+    own = np.concatenate([np.zeros(1, np.uint64), np.frombuffer(codes, np.uint64)])
     good = frequent[(own >> np.uint64(65 - MARKS.bit_length())).astype(np.int64)]
-    good[:2] = False
+    good[0] = False
     ids = np.frombuffer(zstandard.decompress(body), np.int32)
     ids = np.concatenate([np.where(good[ids], ids, 0), np.zeros(longest, np.int32)])
     starts = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-    starts = starts[starts < len(ids) - longest]
     at = np.zeros((longest, len(starts)), np.int64)
     alive = np.ones(len(starts), bool)
     for d in range(longest):
@@ -145,7 +166,39 @@ def suffixes(codes: bytes, body: bytes, frequent: np.ndarray, longest: int) -> t
     for key in keys:
         new[1:] |= np.diff(key[order]) != 0
     first = np.flatnonzero(new)
-    return own[at[:, order[first]]], np.diff(np.append(first, len(order)))
+    return own, at[:, order[first]], np.diff(np.append(first, len(order)))
+
+
+def packed(own: np.ndarray, rows: np.ndarray, n: np.ndarray, ranks: tuple[np.ndarray, np.ndarray]) -> bytes:
+    """Suffixes (places in ``own``) and their counts as bytes; ``ranks``: the codes sent as ranks, in order, and their ranks from 1."""
+    import zstandard
+
+    known, rank = ranks
+    used, local = np.unique(rows, return_inverse=True)
+    codes = own[used]
+    at = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
+    ranked = known[at] == codes if len(known) else np.zeros(len(codes), bool)
+    others = codes[~ranked & (codes > 0)]
+    number = np.zeros(len(used), np.uint32)
+    number[ranked] = rank[at[ranked]]
+    number[~ranked & (codes > 0)] = RANKS + 1 + np.arange(len(others))
+    # Bytes of one weight together: the high ones are few, and small counts are alike.
+    planes = np.concatenate([number[local].ravel(), n.astype(np.uint32)]).view(np.uint8).reshape(-1, 4).T
+    return len(others).to_bytes(4, "little") + others.tobytes() + zstandard.compress(np.ascontiguousarray(planes).tobytes(), 3)
+
+
+def unpacked(body: bytes, longest: int, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of codes, counts) of ``packed``; ``top`` has the code of each rank, 0 first."""
+    import zstandard
+
+    many = int.from_bytes(body[:4], "little")
+    others = np.frombuffer(body[4:4 + 8 * many], np.uint64)
+    planes = np.frombuffer(zstandard.decompress(body[4 + 8 * many:]), np.uint8).reshape(4, -1)
+    flat = np.ascontiguousarray(planes.T).view(np.uint32).reshape(longest + 1, -1).astype(np.int64)
+    number, codes = flat[:-1], np.zeros(flat[:-1].shape, np.uint64)
+    ranked = number <= RANKS
+    codes[ranked], codes[~ranked] = top[number[ranked]], others[number[~ranked] - RANKS - 1]
+    return codes, flat[-1]
 
 
 def prefix(rows: np.ndarray, d: int) -> np.ndarray:
@@ -167,7 +220,8 @@ def over_budget(chunks: DataFrame, words: DataFrame, frequent, budget: int, long
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for codes, body in zip(batch["codes"], batch["body"]):
-                    rows, n = suffixes(codes, body, frequent.value, longest)
+                    own, rows, n = suffixes(codes, body, frequent.value, longest)
+                    rows = own[rows]
                     some = np.isin(prefix(rows, d - 1), known.value)
                     h, at = np.unique(prefix(rows[:, some], d), return_inverse=True)
                     yield pd.DataFrame({"h": h.view(np.int64), "n": np.bincount(at, n[some], len(h)).astype(np.int64)})
@@ -183,15 +237,17 @@ def phrases(chunks: DataFrame, words: DataFrame, total: int, longest: int = LONG
     budget = max(budget, total >> 20)
     frequent = sc.broadcast(marks(words.where(F.col("f") >= least)))
     hot = sc.broadcast(over_budget(chunks, words, frequent, budget, longest))
+    most = words.where(F.col("f") >= least).orderBy(F.desc("f"), "code").limit(RANKS).select("code").toPandas()["code"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(most)
+    ranks, top = sc.broadcast((most[order], order + 1)), sc.broadcast(np.concatenate([np.zeros(1, np.uint64), most]))
     groups = max(1, -(-total // budget))
     names = [f"w{d}" for d in range(longest)]
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import zstandard
-
         for batch in batches:
             for codes, body in zip(batch["codes"], batch["body"]):
-                rows, n = suffixes(codes, body, frequent.value, longest)
+                own, places, n = suffixes(codes, body, frequent.value, longest)
+                rows = own[places]
                 depth, h = np.ones(len(n), np.int64), rows[0].copy()
                 for d, known in enumerate(hot.value, 1):
                     more = (depth == d) & np.isin(prefix(rows, d), known)
@@ -200,22 +256,17 @@ def phrases(chunks: DataFrame, words: DataFrame, total: int, longest: int = LONG
                 group = (h * MIX >> np.uint64(11)).astype(np.int64) % groups
                 order = np.lexsort((depth, group))
                 edge = np.flatnonzero(np.diff(group[order] * longest + depth[order])) + 1
-                out = []
-                for some in np.split(order, edge) if len(order) else []:
-                    packed = zstandard.compress(rows[:, some].tobytes() + n[some].tobytes(), 1)
-                    out.append((group[some[0]], depth[some[0]], len(some), packed))
+                out = [(group[some[0]], depth[some[0]], len(some), packed(own, places[:, some], n[some], ranks.value)) for some in np.split(order, edge)] if len(order) else []
                 if out:
                     yield pd.DataFrame(out, columns=["g", "depth", "n", "body"])
 
     def subtrees(batch: pd.DataFrame) -> pd.DataFrame:
         """The nodes of a group's subtrees; those above the group's own prefix are parts of theirs, for other groups have the rest."""
-        import zstandard
-
-        raw = [np.frombuffer(zstandard.decompress(b), np.uint64).reshape(longest + 1, -1) for b in batch["body"]]
+        parts = [unpacked(b, longest, top.value) for b in batch["body"]]
         depth = np.repeat(batch["depth"].to_numpy(np.int64), batch["n"])
-        both = np.concatenate(raw, axis=1)
-        order = np.lexsort(both[longest - 1::-1])
-        rows, n, depth = both[:longest, order], both[longest, order].view(np.int64), depth[order]
+        rows, n = np.concatenate([r for r, _ in parts], axis=1), np.concatenate([m for _, m in parts])
+        order = np.lexsort(rows[::-1])
+        rows, n, depth = rows[:, order], n[order], depth[order]
         new, out = np.zeros(len(n), bool), []
         new[:1] = True
         for d in range(longest):

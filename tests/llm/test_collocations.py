@@ -52,10 +52,13 @@ def corpus(spark):
     return spark.createDataFrame([(i, t, lang) + (None,) * 7 for i, (lang, t) in enumerate(rows)], SCHEMA), rows
 
 
-@pytest.mark.parametrize("budget, chunk, longest, least, percent, top", [
-    (1 << 20, 1 << 21, 5, 5, 100, 50), (40, 700, 5, 4, 100, 2000), (15, 100, 3, 3, 60, 10), (500, 3000, 2, 10, 100, 7), (3, 400, 5, 20, 90, 300)])
-def test_equals_brute_force(spark, monkeypatch, budget, chunk, longest, least, percent, top):
-    monkeypatch.setattr(collocations, "CHUNK", chunk)
+@pytest.mark.parametrize("budget, chunk, known, ranks, longest, least, percent, top", [
+    (1 << 20, 1 << 21, 1 << 19, 1 << 20, 5, 5, 100, 50), (40, 700, 9, 1 << 20, 5, 4, 100, 2000), (15, 100, 60, 5, 3, 3, 60, 10), (500, 3000, 10, 0, 2, 10, 100, 7),
+    (3, 400, 1, 1, 5, 20, 90, 300)])
+def test_equals_brute_force(spark, monkeypatch, budget, chunk, known, ranks, longest, least, percent, top):
+    """With small limits: prefixes grow, words are forgotten and met again, and most are sent by their codes."""
+    for name, value in (("CHUNK", chunk), ("KNOWN", known), ("RANKS", ranks)):
+        monkeypatch.setattr(collocations, name, value)
     docs, rows = corpus(spark)
     got = collocations.collocations(docs.repartition(3), longest, least, percent, top, budget)
     assert sorted(map(tuple, got.collect())) == brute(rows, longest, least, percent, top)
