@@ -1,67 +1,109 @@
 """Chat formatting by schema fingerprints.
 
-A record is a JSON object. Its nested field paths, without the types of the leaves, are hashed to a
-fingerprint; the fingerprint selects a declarative mapping that turns the record into turns (role, text).
+A mapping says which nested field paths it reads and how they make turns (role, text). The fingerprint of a layout is the hash of
+its paths; a record has the layout if the paths it shares with it have the same hash, so fields that no mapping
+reads (ids, sources, tool data) change nothing. Of several layouts the one with the most paths is taken, of equally many the
+first listed. Table rows carry their paths in the schema of the table: their layout is found once, when the query is
+planned, and its mapping reads the columns. JSON records are parsed to variants, and each one's paths are looked up.
 ``template`` then writes the turns of a conversation between control strings. Control strings inside
 texts are escaped: a backslash goes between the two characters that every control string starts with, and
 ``unescape`` takes it out again.
 
 Null texts and roles are empty. Turns are ordered by turn number (null last), place in the record, role
-and text; repeated rows are repeated turns. Rows without conversation id are one conversation. Records
+and text; repeated rows are repeated turns. Rows without conversation id are one conversation. An empty array has every path below it, so
+a record with an empty list of messages has that layout and no turns; a field that is null is there. Records
 of unknown layout, or that aren't JSON, have no turns and layout null; so have JSON records too large for
 a variant (a text over about 20 million characters), but not table rows, which are never JSON. An empty table gives no
-conversation. Extra columns are ignored.
+conversation. Extra columns are ignored; ``canonical`` carries them along, but for those named layout or turns (in any case), whose
+place its own take.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from hangarflow.llm.common import pick, query, table
 
 START, END, NEWLINE = "<|im_start|>", "<|im_end|>\n", "<|nl|>"
 TURNS = "array<struct<role: string, text: string>>"
-#: Layout: its field paths, then what makes the turns: an array of messages with the names of role and
-#: text, or the turns one by one, each of the texts (joined by an empty line) of one role.
+#: Layout: what makes its turns. Either an array of messages with the names of role and text, or the turns one by one, each
+#: of the texts (joined by an empty line) of one role; a role that is a tuple is read from that field.
 LAYOUTS = {
-    "row": ("OBJECT<role, text>", [("user", None)]),
-    "messages": ("OBJECT<messages: ARRAY<OBJECT<content, role>>>", ("messages", "role", "content")),
-    "messages_text": ("OBJECT<messages: ARRAY<OBJECT<role, text>>>", ("messages", "role", "text")),
-    "from_value": ("OBJECT<conversations: ARRAY<OBJECT<from, value>>>", ("conversations", "from", "value")),
-    "instruction": ("OBJECT<instruction, output>", [("user", ["instruction"]), ("assistant", ["output"])]),
-    "instruction_input": ("OBJECT<input, instruction, output>", [("user", ["instruction", "input"]), ("assistant", ["output"])]),
-    "completion": ("OBJECT<completion, prompt>", [("user", ["prompt"]), ("assistant", ["completion"])]),
-    "response": ("OBJECT<prompt, response>", [("user", ["prompt"]), ("assistant", ["response"])]),
-    "system_response": ("OBJECT<prompt, response, system>", [("system", ["system"]), ("user", ["prompt"]), ("assistant", ["response"])]),
-    "question": ("OBJECT<answer, question>", [("user", ["question"]), ("assistant", ["answer"])]),
+    "row": [(("role",), ["text"])],
+    "messages": ("messages", "role", "content"),
+    "messages_text": ("messages", "role", "text"),
+    "from_value": ("conversations", "from", "value"),
+    "instruction": [("user", ["instruction"]), ("assistant", ["output"])],
+    "instruction_input": [("user", ["instruction", "input"]), ("assistant", ["output"])],
+    "completion": [("user", ["prompt"]), ("assistant", ["completion"])],
+    "response": [("user", ["prompt"]), ("assistant", ["response"])],
+    "system_response": [("system", ["system"]), ("user", ["prompt"]), ("assistant", ["response"])],
+    "question": [("user", ["question"]), ("assistant", ["answer"])],
 }
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
-def fingerprint(paths: str) -> str:
-    return hashlib.md5(paths.encode()).hexdigest()
+def layout_paths(how) -> list[str]:
+    """The nested field paths that a mapping reads, in order; [] marks the elements of an array."""
+    if isinstance(how, tuple):
+        return sorted(f"{how[0]}[].{field}" for field in how[1:])
+    return sorted({path for role, paths in how for path in [*paths, *(role if isinstance(role, tuple) else ())]})
+
+
+def fingerprint(paths: list[str]) -> str:
+    return hashlib.md5("\n".join(sorted(paths)).encode()).hexdigest()
+
+
+#: The layouts, those of more paths first.
+BY_SIZE = sorted(LAYOUTS, key=lambda name: -len(layout_paths(LAYOUTS[name])))
+
+
+def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
+    """The nested field paths of a type."""
+    if isinstance(kind, T.StructType):
+        return [p for f in kind.fields for p in schema_paths(f.dataType, f"{at}.{f.name}" if at else f.name)]
+    if isinstance(kind, T.ArrayType):
+        return schema_paths(kind.elementType, f"{at}[]")
+    return [at]
+
+
+def schema_layout(kind: T.StructType) -> str | None:
+    """The layout of rows of a table, from its schema alone."""
+    own = set(schema_paths(kind))
+    return next((name for name in BY_SIZE if fingerprint(own & set(layout_paths(LAYOUTS[name]))) == fingerprint(layout_paths(LAYOUTS[name]))), None)
+
+
+def _has(path: str) -> Column:
+    """Whether the variant has a field path."""
+    if "[]." not in path:
+        return F.try_variant_get("_v", f"$.{path}", "variant").isNotNull()
+    array, field = path.split("[].")
+    items = F.try_variant_get("_v", f"$.{array}", "array<variant>")
+    return F.coalesce((F.size(items) == 0) | F.exists(items, lambda x: F.try_variant_get(x, f"$.{field}", "variant").isNotNull()), F.lit(False))
 
 
-def field_paths(variant: Column) -> Column:
-    """The nested fields of a variant in order of their names, without the types of the leaves."""
-    return F.regexp_replace(F.schema_of_variant(variant), r": (?!OBJECT<|ARRAY<)[A-Z]+(\([0-9, ]+\))?", "")
+def record_layout() -> Column:
+    """The layout of the variant: for each one, the paths that the record shares with it are hashed."""
+    known = sorted({p for how in LAYOUTS.values() for p in layout_paths(how)})
+    there = F.filter(F.array(*[F.when(_has(p), F.lit(p)) for p in known]), lambda p: p.isNotNull())
+    shared = lambda t, paths: F.md5(F.array_join(F.filter(F.array(*map(F.lit, paths)), lambda p: F.array_contains(t, p)), "\n").cast("binary"))
 
+    def pick(t: Column) -> Column:
+        return F.coalesce(*[F.when(shared(t, layout_paths(LAYOUTS[n])) == fingerprint(layout_paths(LAYOUTS[n])), F.lit(n)) for n in BY_SIZE])
 
-def _text(path: str) -> Column:
-    return F.coalesce(F.try_variant_get("_v", f"$.{path}", "string"), F.lit(""))
+    return F.transform(F.array(there), pick)[0]  # so the paths are looked up once
 
 
-def _turns(how) -> Column:
+def _turns(how, field, items) -> Column:
+    """The turns by a mapping; ``field`` gives the text of a path, ``items`` an array of (role, text) fields."""
     if isinstance(how, tuple):
-        array, role, text = how
-        items = F.try_variant_get("_v", f"$.{array}", f"array<struct<`{role}`: string, `{text}`: string>>")
-        made = F.transform(items, lambda x: F.struct(_role(F.coalesce(x[role], F.lit(""))).alias("role"), F.coalesce(x[text], F.lit("")).alias("text")))
-    elif how[0][1] is None:
-        made = F.array(F.struct(_text("role").alias("role"), _text("text").alias("text")))
+        _, role, text = how
+        made = F.transform(items(how), lambda x: F.struct(_role(F.coalesce(x[role], F.lit(""))).alias("role"), F.coalesce(x[text], F.lit("")).alias("text")))
     else:
-        made = F.array(*(F.struct(F.lit(r).alias("role"), F.array_join(F.filter(F.array(*map(_text, paths)), lambda s: s != ""), "\n\n").alias("text")) for r, paths in how))
+        joined = lambda paths: F.array_join(F.filter(F.array(*map(field, paths)), lambda s: s != ""), "\n\n")
+        made = F.array(*(F.struct((field(role[0]) if isinstance(role, tuple) else F.lit(role)).alias("role"), joined(paths).alias("text")) for role, paths in how))
     return made.cast(TURNS)
 
 
@@ -75,13 +117,24 @@ def _role(c: Column) -> Column:
 def canonical(records: DataFrame, record: str = "record") -> DataFrame:
     """``records`` with layout (null: unknown) and turns; ``record`` holds the JSON text."""
     names = records.columns
-    out = records.select(*(F.col(f"`{n}`") for n in names), F.try_parse_json(F.col(f"`{record}`")).alias("_v"))
-    out = out.withColumn("_f", F.md5(field_paths(F.col("_v")).cast("binary")))
-    layout, turns = F.lit(None).cast("string"), F.array().cast(TURNS)
-    for name, (paths, how) in LAYOUTS.items():
-        mine = F.col("_f") == fingerprint(paths)
-        layout, turns = F.when(mine, name).otherwise(layout), F.when(mine, _turns(how)).otherwise(turns)
-    return out.select(*(F.col(f"`{n}`") for n in names), layout.alias("layout"), turns.alias("turns"))
+    plain = [f"_{i}" for i in range(len(names))]
+    kept = [p for p, n in zip(plain, names) if n.lower() not in ("layout", "turns")]
+    out = records.toDF(*plain).withColumn("_v", F.try_parse_json(plain[names.index(record)])).withColumn("_layout", record_layout())
+    field = lambda path: F.coalesce(F.try_variant_get("_v", f"$.{path}", "string"), F.lit(""))
+    items = lambda how: F.try_variant_get("_v", f"$.{how[0]}", f"array<struct<`{how[1]}`: string, `{how[2]}`: string>>")
+    turns = F.array().cast(TURNS)
+    for name, how in LAYOUTS.items():
+        turns = F.when(F.col("_layout") == name, _turns(how, field, items)).otherwise(turns)
+    return out.select(*kept, "_layout", F.coalesce(turns, F.array().cast(TURNS))).toDF(*[names[plain.index(p)] for p in kept], "layout", "turns")
+
+
+def canonical_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` with turns, by the layout that their schema has; ValueError if it has none."""
+    name = schema_layout(rows.schema)
+    if name is None:
+        raise ValueError(f"no layout reads {rows.schema.simpleString()}")
+    field = lambda path: F.coalesce(F.col(f"`{path}`").cast("string"), F.lit(""))
+    return rows.select("*", _turns(LAYOUTS[name], field, lambda how: F.col(f"`{how[0]}`")).alias("turns"))
 
 
 def escape(c: Column) -> Column:
@@ -122,9 +175,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def conversation_turns(rows: DataFrame) -> DataFrame:
-    """(conv_id, turn, at, role, text) of rows (conv_id, turn, role, text): each row is a record of layout ``row``, whose columns are known without JSON."""
-    r = pick(rows, "conv_id", "turn", "role", "text")
-    return r.select("conv_id", "turn", F.lit(0).alias("at"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    """(conv_id, turn, at, role, text) of rows (conv_id, turn, role, text): the mapping of the schema's layout makes each row's turns."""
+    made = canonical_rows(pick(rows, "conv_id", "turn", "role", "text"))
+    return made.select("conv_id", "turn", F.posexplode("turns").alias("at", "t")).select("conv_id", "turn", "at", "t.role", "t.text")
 
 
 PROBE = "<|im_end|><|im_start|>assistant ok"

@@ -3,7 +3,9 @@
 A text is cut into sentences, each is normalised (A-Z in lower case, marks of ASCII and white space as
 one space) and looked up among the known licence sentences. A document so becomes a string of one
 code per sentence, and a rule is a sequence of codes with at most ``gap`` other sentences between two of
-them. All of it works within a row: no shuffle, no join.
+them. Licence texts are usually wrapped, often in comment blocks, so there are two readings: with each line's end
+a sentence's end, and with comment marks taken away and paragraphs put on one line. A rule that holds in the first isn't looked for in
+the second. All of it works within a row: no shuffle, no join.
 
 Null and empty texts have no sentence and no licence. Repeated rows and repeated or null ids each give a
 row of their own. Extra columns are ignored.
@@ -60,24 +62,49 @@ RULES = [
     ("MPL-2.0", ["mpl-notice"], 0), ("CC-BY-4.0", ["cc-by-notice"], 0), ("CC-BY-SA-4.0", ["cc-by-sa-notice"], 0),
     ("CC-BY-NC-4.0", ["cc-by-nc-short"], 0), ("ISC", ["isc-grant"], 0), ("Unlicense", ["unlicense"], 0), ("proprietary", ["reserved"], 0),
 ]
-# Beyond the contract of op6: titles, the GPL's notice with a semicolon inside, the head of the Apache licence.
-MORE_SENTENCES = [
+# Titles, the GPL's notice with a semicolon inside, the head of the Apache licence.
+SENTENCES += [
     ("mit-title-3", "the mit license mit"),
     ("apache-version", "version 2 0 january 2004"),
     ("apache-head", "apache license version 2 0 january 2004 http www apache org licenses"),
     ("gpl-terms", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
     ("gpl2-either", "either version 2 of the license or at your option any later version"),
     ("gpl3-either", "either version 3 of the license or at your option any later version"),
+    ("bsl-grant", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following"),
+    ("zlib-warranty", "this software is provided as is without any express or implied warranty"),
+    ("zlib-grant", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("0bsd-grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("wtfpl", "do what the fuck you want to public license"),
+    ("epl-notice", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"),
+    ("cc0-notice", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
 ]
-MORE_RULES = [
+RULES += [
     ("MIT", ["mit-title"], 0), ("MIT", ["mit-title-2"], 0), ("MIT", ["mit-title-3"], 0),
     ("Apache-2.0", ["apache-title", "apache-version"], 0), ("Apache-2.0", ["apache-head"], 0),
     ("GPL-2.0", ["gpl-free", "gpl-terms", "gpl2-either"], 0), ("GPL-3.0", ["gpl-free", "gpl-terms", "gpl3-either"], 0),
+    ("BSL-1.0", ["bsl-grant"], 0), ("Zlib", ["zlib-warranty", "zlib-grant"], 2), ("0BSD", ["0bsd-grant"], 0),
+    ("WTFPL", ["wtfpl"], 0), ("EPL-2.0", ["epl-notice"], 0), ("CC0-1.0", ["cc0-notice"], 0),
 ]
-#: One character for each sentence; the first stands for a sentence that isn't known.
-CODES = ".ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+# Identifiers of the public licence list that file headers name.
+IDENTIFIERS = """0BSD AFL-3.0 AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 APSL-2.0 Artistic-1.0 Artistic-2.0 Beerware BlueOak-1.0.0
+BSD-1-Clause BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-4-Clause BSL-1.0 BUSL-1.1 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0
+CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 CDDL-1.1 CECILL-2.1 CPL-1.0 ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.1 EUPL-1.2
+GFDL-1.3 GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0
+LGPL-3.0-only LGPL-3.0-or-later LPPL-1.3c MIT MIT-0 MPL-1.1 MPL-2.0 MPL-2.0-no-copyleft-exception MS-PL MS-RL MulanPSL-2.0 NCSA ODbL-1.0 OFL-1.1
+OpenSSL OSL-3.0 PHP-3.01 PostgreSQL Python-2.0 QPL-1.0 Ruby SSPL-1.0 Unicode-3.0 Unlicense UPL-1.0 Vim W3C WTFPL X11 Zlib ZPL-2.1""".split()
+
+
+def identifier(name: str) -> str:
+    return " ".join("".join(c if c.isalnum() else " " for c in name.lower()).split())
+
+
+SENTENCES += [("spdx", "spdx license identifier")] + [(f"id-{n}", identifier(n)) for n in IDENTIFIERS]
+RULES += [(n, ["spdx", f"id-{n}"], 0) for n in IDENTIFIERS]
+#: One character for each sentence, of those for private use; a dot stands for a sentence that isn't known.
+CODES = "." + "".join(map(chr, range(0xE000, 0xF900)))
 BREAK, CUT = r"[.!?;:]+[ \t\r\n]+|[\n|]+", " ?[|]+ ?"
-COMMENT, COMMENT_END = r"(?im)^[ \t]*(?://+|/\*+|\*+/|\*+|#+|;+|--+|<!--|%+|(?:dnl|rem)\b)?[ \t]*", r"(?m)[ \t]*(?:\*+/|-->)?[ \t]*$"
+COMMENT, COMMENT_END = r"^[ \t]*(?:[/][/]+|[/][*]+|[*]+[/]|[*]+|#+|;+|--+|<!--|%+|(?:dnl|rem)\b)?[ \t]*", r"[ \t]*(?:[*]+[/]|-->)?[ \t]*$"
+VERSION = r"(^|[^A-Za-z])([vV])[.] ([0-9])"
 MARKS = "\t\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{}~"
 FROM, TO = UPPER + MARKS, LOWER + " " * len(MARKS)
 
@@ -89,16 +116,17 @@ def sentences(text: Column) -> Column:
 
 
 def unwrapped(text: Column) -> Column:
-    """Paragraphs on one line, without the marks of comments; blank lines stay."""
-    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), COMMENT, ""), COMMENT_END, "")
-    return F.regexp_replace(F.regexp_replace(plain, r"(?<!\n)\n(?!\n)", " "), r"(?i)\bv\. (?=\d)", "v ")
+    """Paragraphs on one line, without the marks of comments, a bar between paragraphs; ``v. 2`` doesn't end a sentence."""
+    lines = F.regexp_replace(text, r"\r\n?", "\n")
+    plain = F.regexp_replace(F.regexp_replace(lines, f"(?imd){COMMENT}", ""), f"(?md){COMMENT_END}", "")
+    return F.regexp_replace(F.translate(F.regexp_replace(plain, r"\n\n+", "|"), "\n", " "), VERSION, "$1$2 $3")
 
 
 def code_string(found: Column, known: list[tuple[str, str]]) -> Column:
     if len(known) >= len(CODES):
         raise ValueError(f"at most {len(CODES) - 1} sentences")
     texts = F.array(*(F.lit(s) for _, s in known))
-    one = lambda s: F.substring(F.lit(CODES), F.array_position(texts, s).cast("int") + 1, F.lit(1))
+    one = lambda s: F.substring(F.lit(CODES[:len(known) + 1]), F.array_position(texts, s).cast("int") + 1, F.lit(1))
     return F.array_join(F.transform(found, one), "")
 
 
@@ -107,34 +135,54 @@ def rule_pattern(ids: list[str], gap: int, known: list[tuple[str, str]]) -> str:
     return f".{{0,{gap}}}".join(at[i] for i in ids)
 
 
-def scan(docs: DataFrame, known: list[tuple[str, str]] = SENTENCES + MORE_SENTENCES, rules: list[tuple[str, list[str], int]] = RULES + MORE_RULES,
-         wrapped: bool = True) -> DataFrame:
-    """(doc_id, codes, found): found lists (license, first, sentences), the first place of each rule that holds, counted from 0.
+def anchor(known: list[tuple[str, str]], rules: list[tuple[str, list[str], int]]) -> str:
+    """A pattern of few words, one of which is in some sentence of every rule: no rule holds for a text without them."""
+    text = dict(known)
+    left, words = [{w for i in ids for w in text[i].split()} for _, ids, _ in rules], []
+    while left:
+        word = max(sorted(set().union(*left)), key=lambda w: (len(w) > 5, sum(w in s for s in left), len(w)))  # short words are in every text
+        words.append(word)
+        left = [s for s in left if word not in s]
+    return "(?i)(?<![a-z0-9])(?:" + "|".join(words) + ")(?![a-z0-9])"
+
+
+def places(codes: str, pattern: str, name: str) -> Column:
+    """(license, first, sentences) of each place, from the left, where the pattern stands in the string of codes; places don't overlap."""
+    p = F.lit(pattern)
+    found, between = F.regexp_extract_all(codes, p, F.lit(0)), F.split(codes, pattern, -1)
+    before = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda s, x: s + F.length(x))
+    one = lambda m, i: F.struct(F.lit(name).alias("license"), (before(between, i + 1) + before(found, i)).alias("first"), F.length(m).alias("sentences"))
+    return F.when(F.col(codes).rlike(pattern), F.transform(found, one))
+
+
+def scan(docs: DataFrame, known: list[tuple[str, str]] = SENTENCES, rules: list[tuple[str, list[str], int]] = RULES) -> DataFrame:
+    """(doc_id, codes, found): found lists (license, first, sentences), all places of each rule, counted in sentences from 0.
 
-    ``codes`` takes each line's end for a sentence's end. With ``wrapped``, a rule that doesn't hold there is tried on the text with its
-    paragraphs unwrapped, and its place is counted in the sentences of that.
+    ``codes`` takes each line's end for a sentence's end. A rule that doesn't hold there is tried on the text with its
+    paragraphs unwrapped, and its places are counted in the sentences of that. Texts without the words that every rule needs aren't unwrapped.
     """
-    texts = [text_or_empty(), unwrapped(text_or_empty())][:1 + wrapped]
-    ways = ["codes", "_unwrapped"][:1 + wrapped]
-    coded = pick(docs, "doc_id", "text").select("doc_id", *(code_string(sentences(t), known).alias(n) for t, n in zip(texts, ways)))
-    hits = []
-    for name, ids, gap in rules:
-        pattern = rule_pattern(ids, gap, known)
-        p = F.lit(pattern)
-        hits.append(F.coalesce(*(F.when(F.col(c).rlike(pattern), F.struct(
-            F.lit(name).alias("license"), (F.regexp_instr(c, p) - 1).alias("first"), F.length(F.regexp_substr(c, p)).alias("sentences"))) for c in ways)))
-    some = F.filter(F.array(*hits), lambda h: h.isNotNull())
-    return coded.select("doc_id", "codes", F.when(F.concat(*ways).rlike("[^.]"), some).otherwise(F.slice(some, 1, 0)).alias("found"))
+    text = text_or_empty()
+    other = F.when(text.rlike(anchor(known, rules)), unwrapped(text)).otherwise("")
+    coded = pick(docs, "doc_id", "text").select("doc_id", code_string(sentences(text), known).alias("codes"), code_string(sentences(other), known).alias("_unwrapped"))
+    hits = [F.coalesce(*(places(c, rule_pattern(ids, gap, known), name) for c in ("codes", "_unwrapped"))) for name, ids, gap in rules]
+    none = F.array().cast("array<struct<license: string, first: int, sentences: int>>")
+    some = F.flatten(F.filter(F.array(*hits), lambda h: h.isNotNull()))
+    return coded.select("doc_id", "codes", F.when(F.concat("codes", "_unwrapped").rlike("[^.]"), some).otherwise(none).alias("found"))
 
 
 def _oracle() -> str:
     known = ", ".join(f"'{s}'" for _, s in SENTENCES)
-    rules = ",\n    ".join(f"CASE WHEN regexp_matches(codes, '{rule_pattern(i, g, SENTENCES)}') THEN '{n}' END" for n, i, g in RULES)
+    rules = ",\n    ".join(f"CASE WHEN regexp_matches(codes, '{p}') OR regexp_matches(other, '{p}') THEN '{n}' END"
+                           for n, p in ((n, rule_pattern(i, g, SENTENCES)) for n, i, g in RULES))
+    norm = lambda t: (f"list_filter(regexp_split_to_array(trim(regexp_replace(translate(regexp_replace({t}, '{BREAK}', '|', 'g'), "
+                      f"'{FROM.replace(chr(39), chr(39) * 2)}', '{TO}'), ' {{2,}}', ' ', 'g'), ' |'), '{CUT}'), lambda s: s <> '')")
+    codes = lambda l: f"array_to_string(list_transform({l}, lambda x: substr('{CODES[:len(SENTENCES) + 1]}', coalesce(list_position([{known}], x), 0)::INT + 1, 1)), '')"
     return rf"""
-WITH marked AS (SELECT doc_id, regexp_replace(translate(regexp_replace(coalesce(text, ''), '{BREAK}', '|', 'g'),
-    '{FROM.replace("'", "''")}', '{TO}'), ' {{2,}}', ' ', 'g') AS m FROM documents),
-cut AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(m, ' |'), '{CUT}'), lambda s: s <> '') AS s FROM marked),
-coded AS (SELECT doc_id, array_to_string(list_transform(s, lambda x: substr('{CODES}', coalesce(list_position([{known}], x), 0)::INT + 1, 1)), '') AS codes FROM cut),
+WITH lines AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS l FROM documents),
+plain AS (SELECT doc_id, t, regexp_replace(regexp_replace(l, '(?im){COMMENT}', '', 'g'), '(?m){COMMENT_END}', '', 'g') AS p FROM lines),
+flat AS (SELECT doc_id, t, regexp_replace(translate(regexp_replace(p, '\n\n+', '|', 'g'), chr(10), ' '), '{VERSION}', '\1\2 \3', 'g') AS u FROM plain),
+cut AS (SELECT doc_id, {norm('t')} AS s, {norm('u')} AS o FROM flat),
+coded AS (SELECT doc_id, {codes('s')} AS codes, {codes('o')} AS other FROM cut),
 named AS (SELECT doc_id, codes, list_sort(list_distinct(list_filter([
     {rules}], lambda r: r IS NOT NULL))) AS l FROM coded)
 SELECT doc_id, length(codes) AS n_sentences, length(replace(codes, '.', '')) AS n_known, len(l) AS n_licenses, array_to_string(l, ',') AS licenses FROM named
@@ -144,7 +192,7 @@ SELECT doc_id, length(codes) AS n_sentences, length(replace(codes, '.', '')) AS
 @query("op6_license_scan", _oracle())
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array_sort(F.array_distinct(F.transform("found", lambda h: h["license"])))
-    return scan(table(spark, sf_dir, "documents"), SENTENCES, RULES, wrapped=False).select(
+    return scan(table(spark, sf_dir, "documents")).select(
         "doc_id", F.length("codes").cast("long").alias("n_sentences"), F.length(F.replace("codes", F.lit("."), F.lit(""))).cast("long").alias("n_known"),
         F.size(names).cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"),
     )

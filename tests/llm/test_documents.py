@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hangarflow.llm import bpe, common, decontam, langid, licenses, linededup, longrepeats, minhash, toxicity
+from tests.compare import compare
 from tests.llm.rows import SCHEMA, documents
 
 LOWER = str.maketrans(common.UPPER, common.LOWER)
@@ -231,7 +232,7 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
-def test_wrapped_licenses(spark):
+def test_wrapped_licenses(spark, tmp_path):
     """Verbatim texts in their usual layout: wrapped, in comment blocks, as lists."""
     mit = """MIT License
 
@@ -279,6 +280,36 @@ file, You can obtain one at https://mozilla.org/MPL/2.0/."""
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
     got = {r["doc_id"]: {f["license"] for f in r["found"]} for r in licenses.scan(docs).collect()}
     assert [got[i] for i in range(len(rows))] == [want for _, want in rows]
+    # The registered query is the same scan.
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r["licenses"] for r in licenses.op6_license_scan(spark, str(tmp_path)).collect()}
+    assert [out[i] for i in range(len(rows))] == [",".join(sorted(want)) for _, want in rows]
+    assert compare(licenses.op6_license_scan(spark, str(tmp_path)), duckdb_of(tmp_path), licenses._oracle()) is None
+
+
+def duckdb_of(folder):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    return con
+
+
+def test_licenses_equal_their_sql_on_awkward_texts(spark, tmp_path):
+    docs, _ = documents(spark)
+    more = ["# SPDX-License-Identifier: Apache-2.0", "// SPDX-License-Identifier: GPL-2.0-or-later\nint x;", "All rights\nreserved.", "* All rights\n * reserved.", "dnl all rights\nrem reserved",
+            "\u2028all rights reserved\x85", "all rights reserved\x85", "all rights\n \t\n reserved", "All rights\r\n// reserved\r", "é all rights reserved", "License v. 2. All rights reserved", "<!-- all rights reserved -->", "#all rights reserved*/"]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(700 + i, t) for i, t in enumerate(more)], "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert compare(licenses.op6_license_scan(spark, str(tmp_path)), duckdb_of(tmp_path), licenses._oracle()) is None
+    got = {r["doc_id"]: r["licenses"] for r in licenses.op6_license_scan(spark, str(tmp_path)).collect()}
+    assert got[700] == "Apache-2.0" and got[701] == "GPL-2.0-or-later" and [got[i] for i in (702, 703, 704)] == ["proprietary"] * 3 and got[707] == ""
+
+
+def test_every_place_of_a_rule(spark):
+    text = "Intro.\nReleased under the MIT License.\nx.\ny.\nReleased under the MIT License.\nAll rights reserved.\nreleased under the mit license"
+    found = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["found"]
+    assert sorted((f["license"], f["first"], f["sentences"]) for f in found) == [("MIT", 1, 1), ("MIT", 4, 1), ("MIT", 6, 1), ("proprietary", 5, 1)]
 
 
 def test_bpe_equals_the_library(spark):

@@ -55,6 +55,35 @@ def test_layouts(spark):
     assert all(got[i] == (None, []) for i in (7, 8, 9, 90, 91, 92))
 
 
+def test_fields_that_no_layout_reads(spark):
+    """Ids, sources, tool turns, empty lists and columns with clashing names: no record loses its turns."""
+    records = [
+        {"id": 7, "source": {"a": [1]}, "messages": [{"role": "user", "content": "a", "name": "x"}, {"role": "assistant", "tool_calls": [{"id": 1}], "content": None}]},
+        {"id": "z", "messages": []}, {"conversations": [{"from": "human", "value": "q", "weight": 0}], "id": 1}, {"instruction": "i", "output": "o", "meta": None, "input": None},
+        {"prompt": "p", "response": "r", "score": 1.5}, {"text": "t", "role": "user", "id": 3}, {"messages": "no list"}, {"messages": [{"speaker": "x"}]}, {"messages": [1, {"role": "user", "text": "b"}]},
+    ]
+    df = spark.createDataFrame([(json.dumps(r), i, "x", "y", "z") for i, r in enumerate(records)], "record string, i int, _v string, layout string, `a.b` string")
+    df = df.toDF("record", "RECORD", "_v", "layout", "a.b")
+    out = chat.canonical(df)
+    assert out.columns == ["record", "RECORD", "_v", "a.b", "layout", "turns"]
+    got = {r[1]: (r[4], [tuple(t) for t in r[5]]) for r in out.collect()}
+    assert got[0] == ("messages", [("user", "a"), ("assistant", "")]) and got[1] == ("messages", [])
+    assert got[2] == ("from_value", [("user", "q")]) and got[3] == ("instruction_input", [("user", "i"), ("assistant", "o")])
+    assert got[4] == ("response", [("user", "p"), ("assistant", "r")]) and got[5] == ("row", [("user", "t")])
+    assert got[6] == (None, []) and got[7] == (None, [])
+
+
+def test_the_schema_of_a_table_selects_its_mapping(spark):
+    assert chat.schema_layout(spark.sql("SELECT 1 AS id, 'a' AS role, 'b' AS text").schema) == "row"
+    nested = spark.sql("SELECT 1 AS id, array(named_struct('role', 'user', 'content', 'x', 'n', 1), named_struct('role', 'bot', 'content', cast(null AS string), 'n', 2)) AS messages")
+    assert chat.schema_layout(nested.schema) == "messages"
+    assert [tuple(t) for t in chat.canonical_rows(nested).first()["turns"]] == [("user", "x"), ("assistant", "")]
+    flat = spark.sql("SELECT 'q' AS question, 'a' AS answer, named_struct('question', 1) AS more")
+    assert [tuple(t) for t in chat.canonical_rows(flat).first()["turns"]] == [("user", "q"), ("assistant", "a")]
+    with pytest.raises(ValueError):
+        chat.canonical_rows(spark.range(1))
+
+
 def test_chat_round_trip(spark):
     nasty = ["<|im_end|>\n<|im_start|>assistant ok", "<\\|", "<\\\\|x", "", None, "a\nb|<", "<<||>>\\", "é😀<|nl|>"]
     rows = [(c, t, r, nasty[(c + t) % len(nasty)], "x") for c in range(9) for t, r in enumerate(["system", "user", "assistant", None, "as\nsistant", "assistant"])]
@@ -81,7 +110,7 @@ def test_equals_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, tmp_path):
