@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hangarflow import rules
 from hangarflow.functions import scalars
+from hangarflow.operators.moving import trailing_median
 from hangarflow.operators.ordered import HOUR, names, nearest_seen
 from hangarflow.operators.quantiles import exact_quantiles
 from hangarflow.session import staged
@@ -135,6 +136,16 @@ def keep_first(df, keys, order: Sequence[str]) -> DataFrame:
     return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 
+def keep_last(df, keys, order: Sequence[str]) -> DataFrame:
+    """Last row per key in a total order, combined map-side like :func:`keep_first`."""
+    keys = names(keys)
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.select(*keys).distinct()
+    kept = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+
+
 def collapse_copies(df: DataFrame, out: str = "_copies") -> DataFrame:
     """Exact copies become one row with a count; the counting combines map-side."""
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(out))
@@ -163,9 +174,8 @@ def impute_context(
     """Short gaps take the last value, longer ones a trailing median; both are marked.
 
     Short: last reading at most ``gap_minutes`` old and at most ``max_run`` empty
-    readings since. Median: of the readings in [t - ``median_hours``, t). The whole
-    hours of that frame come from values counted per sensor and hour, the two hours
-    at its ends from the readings themselves; only the times in need are looked up.
+    readings since. Median: of the readings in [t - ``median_hours``, t), in work
+    linear in the readings (:mod:`moving`); only the times in need ask for it.
     """
     from hangarflow.operators.ordered import running
 
@@ -176,18 +186,9 @@ def impute_context(
     seen = nearest_seen(counted, by, ts, {"_last": (spot, ok)}, order, width)
     gap = F.unix_micros(ts) - F.unix_micros("_last.t")
     short = ~ok & (gap <= gap_minutes * 60_000_000) & (F.col("_nulls") - F.col("_last.k") <= max_run)
-    hour = F.floor(F.unix_seconds(ts) / HOUR).cast("long")
-    marked = seen.withColumn("_short", F.coalesce(short, F.lit(False))).withColumn("_hour", hour)
-
-    needed = marked.where(~ok & ~F.col("_short")).select(*by, F.col(ts).alias("_t"), "_hour").distinct()
-    whole = needed.withColumn("_src", F.explode(F.sequence(F.col("_hour") - (median_hours - 1), F.col("_hour") - 1)))
-    counts = df.where(ok).groupBy(*by, hour.alias("_src"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    ends = needed.withColumn("_src", F.explode(F.array(F.col("_hour") - median_hours, F.col("_hour"))))
-    spots = df.where(ok).select(*by, hour.alias("_src"), F.col(ts).alias("_at"), F.col(value).alias("_v"))
-    inside = (F.col("_at") < F.col("_t")) & (F.unix_micros("_at") >= F.unix_micros("_t") - median_hours * HOUR * 1_000_000)
-    values = whole.join(counts, [*by, "_src"]).select(*by, "_t", "_v", "_n").unionByName(
-        ends.join(spots, [*by, "_src"]).where(inside).select(*by, "_t", "_v", F.lit(1).cast("long").alias("_n")))
-    medians = values.groupBy(*by, F.col("_t").alias(ts)).agg(F.percentile("_v", 0.5, F.col("_n")).alias("_median"))
+    # Read twice below: by the medians and by the answer.
+    marked = staged(seen.withColumn("_short", F.coalesce(short, F.lit(False))))
+    medians = trailing_median(marked, marked.where(~ok & ~F.col("_short")), by, ts, value, median_hours, "_median")
     filled = marked.join(medians, [*by, ts], "left")
     method = (
         F.when(ok, F.lit(None).cast("string")).when(F.col("_short"), "forward_fill")

@@ -78,7 +78,7 @@ def test_context_fill(spark):
     for width in (600, 3600, 10**8):
         got = {r.id: (r.measurement_value, r.imputation_method) for r in cleaning.impute_context(df, width=width).collect()}
         assert got[3] == (10.0, "forward_fill") and got[7] == (10.0, "forward_fill")  # fifth fill
-        assert got[8] == (4.0, "median") and got[9] == (4.0, "median")  # sixth and later: median of the hours before
+        assert got[8] == (5.0, "median") and got[9] == (5.0, "median")  # sixth and later: median of 3, 5 and 10, all in the day before
         assert got[20] == (None, None)  # nothing within 24 hours
         assert got[2] == (10.0, None)
 
