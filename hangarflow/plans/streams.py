@@ -26,7 +26,7 @@ _AGG = "count(*) AS readings, avg(measurement_value) AS mean, stddev_samp(measur
     SELECT sensor_type, date_trunc('hour', measurement_timestamp)::TIMESTAMP AS window_start, date_trunc('hour', measurement_timestamp)::TIMESTAMP + INTERVAL 1 HOUR AS window_end, {_AGG}
     FROM readings GROUP BY 1, 2, 3""", dbl="mean std min max", ts="window_start window_end", views="readings"))
 def stream_tumbling(spark, sf):
-    return streams.drain_complete(streams.windowed(_readings(spark, sf), "1 hour"))
+    return streams.drain_closed(lambda r: streams.windowed(r, "1 hour"), _readings(spark, sf))
 
 
 @query("stream_sliding", out(f"""
@@ -34,7 +34,7 @@ def stream_tumbling(spark, sf):
     FROM (SELECT *, date_trunc('hour', measurement_timestamp)::TIMESTAMP - INTERVAL 1 HOUR * back AS s FROM readings, range(3) r(back)) GROUP BY 1, 2, 3""",
     dbl="mean std min max", ts="window_start window_end", views="readings"))
 def stream_sliding(spark, sf):
-    return streams.drain_complete(streams.windowed(_readings(spark, sf), "3 hours", "1 hour"))
+    return streams.drain_closed(lambda r: streams.windowed(r, "3 hours", "1 hour"), _readings(spark, sf))
 
 
 @query("stream_session", out("""
@@ -43,7 +43,7 @@ def stream_sliding(spark, sf):
         CASE WHEN measurement_timestamp - lag(measurement_timestamp) OVER (PARTITION BY aircraft_id ORDER BY measurement_timestamp) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM readings))
     GROUP BY aircraft_id, no""", ts="session_start session_end", views="readings"))
 def stream_session(spark, sf):
-    return streams.drain_complete(streams.sessions(_readings(spark, sf)))
+    return streams.drain_closed(streams.sessions, _readings(spark, sf))
 
 
 @query("stream_bronze", out("""
@@ -78,7 +78,8 @@ def stream_alerts(spark, sf):
     dbl="last_value", ts="seen_at", views="readings"))
 def stream_state(spark, sf):
     """Last value and streak per sensor after all events ."""
-    return streams.drain_append(streams.sensor_state(_readings(spark, sf), limit=50.0)).where("event = 'seen'")
+    with streams.rocks(spark):
+        return streams.drain_append(streams.sensor_state(_readings(spark, sf), limit=50.0)).where("event = 'seen'")
 
 
 @query("stream_upsert", out("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from hangarflow import rules
 from hangarflow.operators import ordered
@@ -116,6 +116,50 @@ def upsert_path(source: DataFrame, path: str, keys, order, update_columns=None,
     return seen.get["n"]
 
 
+#: Number of the micro-batch in a table's log.
+BATCH = "_batch"
+
+
+def log_path(path: str) -> str:
+    """Where batches wait to be merged into the table: beside it, for a table without partitions is overwritten as a whole."""
+    return f"{path.rstrip('/')}-log"
+
+
+def logged(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """All rows of a table's log, with the number of their batch; None if nothing waits."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(log_path(path))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [str(x.getPath()) for x in fs.listStatus(at)] if fs.exists(at) else []
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(*sorted(folders)) if folders else None
+
+
+def clear_log(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(log_path(path))
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, before: str) -> list[str]:
+    """Delete the partitions ``column=value`` whose value (as text, dates in ISO form) is less than ``before``; the values deleted.
+
+    Only folder names are looked at, no row is read. Partitions of other columns above ``column`` are searched too; those of null and
+    names that aren't partitions stay.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone, left = [], [root]
+    while left:
+        for x in fs.listStatus(left.pop()):
+            name, _, value = x.getPath().getName().partition("=")
+            if not x.isDirectory() or not value:
+                continue
+            if name != column:
+                left.append(x.getPath())
+            elif value != "__HIVE_DEFAULT_PARTITION__" and value < before:
+                fs.delete(x.getPath(), True)
+                gone.append(value)
+    return sorted(gone)
+
+
 def scd2(changes: DataFrame, by: str, ts: str, value: str, tie: str, width: int | None = 30 * ordered.DAY) -> DataFrame:
     """Versions of an attribute with start, end, current flag and number.
 
