@@ -78,6 +78,24 @@ def daily_labeled(spark, sf) -> DataFrame:
         F.count(F.lit(1)).cast("double").alias("flight_hours"),
         F.max(failed.cast("int")).alias("failed"),
     )
+    return _with_labels(daily)
+
+
+def history(spark, sf) -> DataFrame:
+    """The 13-column daily file once more, over seven years: suppliers stand in for aircraft, their lines for readings."""
+    line = table(spark, sf, "lineitem")
+    failed = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 45)
+    daily = line.groupBy(F.col("l_suppkey").alias("aircraft_id"), F.to_date("l_shipdate").alias("date")).agg(
+        F.avg("l_quantity").alias("temperature"), F.avg(F.col("l_discount") * 100).alias("vibration"),
+        F.avg(F.col("l_extendedprice") / 1000).alias("pressure"), F.avg(F.col("l_tax") * 100).alias("rpm"),
+        F.max("l_extendedprice").alias("altitude"), F.min("l_quantity").alias("ambient_temp"),
+        F.count(F.lit(1)).cast("double").alias("flight_hours"), F.max(failed.cast("int")).alias("failed"),
+    )
+    return _with_labels(daily)
+
+
+def _with_labels(daily: DataFrame) -> DataFrame:
+    """Cycle, days to the next failure and the label."""
     numbered = ordered.row_index(daily, "aircraft_id", "date", "cycle", start=0)
     labeled = ordered.nearest_seen(
         numbered, "aircraft_id", "date", {"_next": (F.col("date"), F.col("failed") == 1)}, forward=True

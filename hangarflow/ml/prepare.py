@@ -80,18 +80,78 @@ def time_split(df: DataFrame, ts: str = "date", ratios=rules.SPLIT, gap: int = r
     return whole.unionByName(ranked.select(*df.columns, place(F.col("_before") + F.col("_rank")).alias("split")))
 
 
-def ts_folds(df: DataFrame, ts: str = "date", folds: int = rules.CV_FOLDS) -> DataFrame:
-    """Expanding folds over distinct dates: a row enters each fold as train or test."""
+def ts_folds(df: DataFrame, ts: str = "date", folds: int = rules.CV_FOLDS, gap: int = 0) -> DataFrame:
+    """Expanding folds over distinct dates: a row enters each fold as train or test, but not as train in the ``gap`` dates before the test part."""
     size = F.floor(F.col("_dates") / (folds + 1))
     roles = []
     for i in range(1, folds + 1):
         start = F.col("_dates") - size * (folds - i + 1)
-        role = F.when(F.col("_idx") < start, "train").when(F.col("_idx") < start + size, "test")
+        role = F.when(F.col("_idx") < start - gap, "train").when(F.col("_idx") < start, F.lit(None)).when(F.col("_idx") < start + size, "test")
         roles.append(F.when(role.isNotNull(), F.struct(F.lit(i).alias("fold"), role.alias("role"))))
     picked = F.explode(F.filter(F.array(*roles), lambda r: r.isNotNull()))
     return df.join(_dates(df, ts), ts).select(*df.columns, picked.alias("_f")).select(*df.columns, "_f.fold", "_f.role")
 
 
+def hash_parts(df: DataFrame, key: Sequence[str], shares: Sequence[float], strata: str | None = None, seed: int = 42, out: str = "part") -> DataFrame:
+    """Add the number of the part a row falls into, the parts' shares exact in rows for each value of ``strata`` (null is one too).
+
+    A part ends at the floor of its cumulated share. Rows are ordered by a hash of ``key``, but never sorted as a whole:
+    they are counted in 2**10 ranges of the hash, a range that lies inside one part goes there as it is, and only rows of ranges
+    with a cut are ranked. Rows of equal keys are told apart by nothing else, so ``key`` should be unique.
+    """
+    groups = ["_stratum"] if strata else []
+    hashed = df.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn("_b", F.shiftright("_h", 54))
+    if strata:
+        hashed = hashed.withColumn("_stratum", F.xxhash64(strata, F.col(strata).isNull()))
+    per = hashed.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy(*groups)
+    per = per.withColumn("_before", F.sum("_n").over(own.orderBy("_b")) - F.col("_n")).withColumn("_all", F.sum("_n").over(own))
+    # A little is added before rounding down: 0.7 + 0.15 is meant to be 0.85.
+    cuts = F.array(*[F.floor(F.col("_all") * sum(shares[:i]) + 1e-9) for i in range(1, len(shares))]) if len(shares) > 1 else F.array().cast("array<bigint>")
+    place = lambda pos: F.size(F.filter("_cuts", lambda c: c <= pos))
+    per = per.withColumn("_cuts", cuts).withColumn("_first", place(F.col("_before"))).withColumn("_cut", F.col("_first") != place(F.col("_before") + F.col("_n") - 1))
+    known = hashed.join(per, [*groups, "_b"])
+    whole = known.where(~F.col("_cut")).select(*df.columns, F.col("_first").alias(out))
+    rank = F.row_number().over(Window.partitionBy(*groups, "_b").orderBy("_h", *key)) - 1
+    edge = known.where("_cut").withColumn("_r", rank)
+    return whole.unionByName(edge.select(*df.columns, place(F.col("_before") + F.col("_r")).alias(out)))
+
+
+def random_split(df: DataFrame, key: Sequence[str], ratios=rules.SPLIT, strata: str | None = None, seed: int = 42) -> DataFrame:
+    """Add ``split`` = train / validation / test by row hash; with ``strata`` the shares hold for each of its values (stratified)."""
+    names = F.array(*map(F.lit, ("train", "validation", "test")))
+    return hash_parts(df, key, ratios, strata, seed, "_part").select(*df.columns, F.get(names, F.col("_part")).alias("split"))
+
+
+def k_folds(df: DataFrame, key: Sequence[str], folds: int = rules.CV_FOLDS, strata: str | None = None, seed: int = 42) -> DataFrame:
+    """Each row enters every fold, once as test and else as train; with ``strata`` each fold tests the same share of every value."""
+    parts = hash_parts(df, key, [1 / folds] * folds, strata, seed, "_part")
+    roles = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("fold"), F.when(F.col("_part") == i, "test").otherwise("train").alias("role")) for i in range(folds)]))
+    return parts.select(*df.columns, roles.alias("_f")).select(*df.columns, "_f.fold", "_f.role")
+
+
+def split(df: DataFrame, method: str = "time_based", key: Sequence[str] = ("aircraft_id", "date"), label: str | None = None, **how) -> DataFrame:
+    """``time_based`` (default), ``random`` or ``stratified`` by ``label``."""
+    if method == "time_based":
+        return time_split(df, **how)
+    if method == "random":
+        return random_split(df, key, **how)
+    if method == "stratified":
+        return random_split(df, key, strata=label, **how)
+    raise ValueError(f"unknown split method {method!r}")
+
+
+def cross_validation(df: DataFrame, method: str = "time_series_split", key: Sequence[str] = ("aircraft_id", "date"), label: str | None = None, **how) -> DataFrame:
+    """``time_series_split`` (default), ``k_fold`` or ``stratified_k_fold`` by ``label``."""
+    if method == "time_series_split":
+        return ts_folds(df, **how)
+    if method == "k_fold":
+        return k_folds(df, key, **how)
+    if method == "stratified_k_fold":
+        return k_folds(df, key, strata=label, **how)
+    raise ValueError(f"unknown cross-validation method {method!r}")
+
+
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows / (classes x rows of the class)."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("records"))
@@ -102,9 +162,9 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def weighted(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach the balanced weight of each row's class (a two-row lookup)."""
+    """Attach the balanced weight of each row's class; how the classes get to the rows is left to their measured size."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label)
+    return df.join(w, label)
 
 
 def scale(train: DataFrame, other: DataFrame, cols: Sequence[str], method: str = "standard") -> DataFrame:
@@ -185,6 +245,27 @@ def smallest_hash(df: DataFrame, n: int, key: Sequence[str], seed: int) -> DataF
     return below.select(*df.columns).unionByName(edge.select(*df.columns))
 
 
+def numbered(df: DataFrame, key: Sequence[str], seed: int, out: str) -> DataFrame:
+    """Add a number from 0 to rows - 1, in the order of a hash of ``key``, without a sort of all rows: places in 2**16 ranges of the hash, after the rows of those before."""
+    hashed = df.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn("_b", F.shiftright("_h", 48))
+    per = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = per.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_before"))  # at most 2**16 rows
+    place = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *key)) - 1
+    return hashed.withColumn("_r", place).join(before, "_b").select(*df.columns, (F.col("_before") + F.col("_r")).alias(out))
+
+
+def permuted(x, n, seed: int, rounds: int = 24):
+    """The number that a keyed permutation of 0 .. n - 1 puts at place ``x``: swap-or-not rounds, a bijection for any ``n``.
+
+    In each round a place and its mirror image about a keyed number change places if a bit hashed from the greater of them says so.
+    """
+    def swap(at, r):
+        other = F.pmod(F.pmod(F.xxhash64(F.lit(seed), r), n) + n - at, n)
+        return F.when(F.xxhash64(F.lit(seed), r, F.greatest(at, other)) > 0, other).otherwise(at)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), x.cast("long"), swap)
+
+
 def repeated(df: DataFrame, n: int, have: int, key: Sequence[str], seed: int, out: str) -> DataFrame:
     """Exactly ``n`` copies of the ``have`` rows, numbered per row in ``out``: as even as possible, odd ones to the smallest hashes."""
     each, extra = divmod(n, have)

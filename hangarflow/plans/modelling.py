@@ -3,14 +3,12 @@
 from pyspark.sql import functions as F
 
 from hangarflow import bindings as B, rules
-from hangarflow.ml import evaluate, forest, prepare, train
-from hangarflow.operators import cleaning, windows
+from hangarflow.ml import evaluate, forest, prepare, selection, shap, train
+from hangarflow.operators import gold
 from hangarflow.plans.registry import out, query
 from hangarflow.plans.sql_views import S4, VIEWS
 from hangarflow.session import staged, work_dir
 
-FEATURES = ["temperature", "vibration", "pressure", "rpm", "ambient_temp", "flight_hours",
-            "temperature_rolling_mean_7d", "vibration_rolling_mean_7d", "pressure_rolling_mean_7d", "rpm_rolling_mean_7d"]
 LABEL = "will_fail_7days"
 KEY = ["aircraft_id", "date"]
 
@@ -143,24 +141,80 @@ def pr_curve(spark, sf):
     return evaluate.pr(B.scored(spark, sf))
 
 
+# ----------------------------------------------------- feature choice and splits
+
+_SEL8 = ["temperature", "vibration", "pressure", "rpm", "altitude", "ambient_temp", "flight_hours", "cycle"]
+_bins = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, will_fail_7days AS y, least(9, coalesce(floor(({c} - min({c}) OVER ()) * 10 / nullif(max({c}) OVER () - min({c}) OVER (), 0)), 0)) AS x FROM history WHERE {c} IS NOT NULL"
+    for c in _SEL8)
+VIEWS["mi_cells"] = ("history", f"SELECT column_name, x, y, count(*)::DOUBLE AS n FROM ({_bins}) GROUP BY ALL")
+
+
+@query("mutual_info", out("""
+    SELECT column_name, greatest(0, sum(n / t * ln(n * t / (nx * ny)))) AS mutual_information, sum(n)::BIGINT AS records FROM (
+        SELECT *, sum(n) OVER (PARTITION BY column_name) AS t, sum(n) OVER (PARTITION BY column_name, x) AS nx, sum(n) OVER (PARTITION BY column_name, y) AS ny FROM mi_cells)
+    GROUP BY 1""", dbl="mutual_information", views="mi_cells"))
+def mutual_info(spark, sf):
+    return selection.mutual_information(B.history(spark, sf), _SEL8, LABEL)
+
+
+@query("lasso_select")
+def lasso_select(spark, sf):
+    """Weights of all 81 features."""
+    frame, features = _frame(spark, sf)
+    return selection.lasso(frame, features, LABEL)
+
+
+@query("recursive_select")
+def recursive_select(spark, sf):
+    """Every step of the elimination from 81 features down to one."""
+    frame, features = _frame(spark, sf)
+    return selection.recursive(frame, features, LABEL)
+
+
+def _parts_sql(name, label, cuts):
+    """Counts of exact shares: a part ends at the floor of its cumulated share."""
+    edges = ["0"] + [f"floor(n * {c} + 1e-9)" for c in cuts] + ["n"]
+    return " UNION ALL ".join(f"SELECT '{name}' AS method, label, '{p}' AS part, ({b} - {a})::BIGINT AS records FROM (SELECT {label} AS label, count(*) AS n FROM history GROUP BY 1)"
+                              for p, a, b in zip(("train", "validation", "test"), edges, edges[1:]))
+
+
+@query("stratified_split", out(f"""
+    {_parts_sql('random', 'NULL::INTEGER', (0.7, 0.85))} UNION ALL {_parts_sql('stratified', 'will_fail_7days', (0.7, 0.85))}""", views="history"))
+def stratified_split(spark, sf):
+    """Rows by part, as a whole and for each class."""
+    d = B.history(spark, sf).select(*KEY, LABEL)
+    count = F.count(F.lit(1)).alias("records")
+    plain = prepare.split(d, "random", KEY).groupBy(F.lit("random").alias("method"), F.lit(None).cast("int").alias("label"), F.col("split").alias("part")).agg(count)
+    return plain.unionByName(prepare.split(d, "stratified", KEY, LABEL).groupBy(F.lit("stratified").alias("method"), F.col(LABEL).alias("label"), F.col("split").alias("part")).agg(count))
+
+
+@query("k_fold", out("""
+    SELECT fold::INTEGER AS fold, will_fail_7days AS label, role, CASE WHEN role = 'test' THEN t ELSE n - t END AS records FROM (
+        SELECT will_fail_7days, fold, n, (floor(n * fold / 5 + 1e-9) - floor(n * (fold - 1) / 5 + 1e-9))::BIGINT AS t
+        FROM (SELECT will_fail_7days, count(*) AS n FROM history GROUP BY 1), range(1, 6) f(fold)), (VALUES ('train'), ('test')) r(role)""", views="history"))
+def k_fold(spark, sf):
+    d = B.history(spark, sf).select(*KEY, LABEL)
+    return prepare.cross_validation(d, "stratified_k_fold", KEY, LABEL).groupBy("fold", F.col(LABEL).alias("label"), "role").agg(F.count(F.lit(1)).alias("records"))
+
+
 # --------------------------------------------------------------------- models
 
 def _frame(spark, sf):
-    """Filled daily rows with 7-day means, staged once: model fitting passes over it many times."""
-    filled = cleaning.impute(B.daily_labeled(spark, sf), S4, "forward_fill")
-    rolled = windows.rolling(filled, S4, [7])
-    return staged(rolled.select(*KEY, *FEATURES, LABEL).dropna())
+    """(rows, names of the 81 features): the engineered daily set over seven years, staged once, for model fitting passes over it many times."""
+    rows, features, target = prepare.training_set(gold.gold_daily(B.history(spark, sf), order=["cycle"]))
+    return staged(rows.select(*KEY, *features, target)), features
 
 
 def _parts(spark, sf):
-    # The test tables span 30 days, so the gap is a day here instead of a week.
-    split = staged(prepare.time_split(_frame(spark, sf), gap=1))
-    return prepare.weighted(split.where("split = 'train'").drop("split"), LABEL), split.where("split = 'test'").drop("split")
+    frame, features = _frame(spark, sf)
+    split = staged(prepare.time_split(frame))
+    return prepare.weighted(split.where("split = 'train'").drop("split"), LABEL), split.where("split = 'test'").drop("split"), features
 
 
 def _fit_and_score(spark, sf, kind, params=None):
-    fit_on, test = _parts(spark, sf)
-    return train.score(train.fit(fit_on, FEATURES, LABEL, kind, params, "weight"), test).select(*KEY, LABEL, "failure_probability", "prediction")
+    fit_on, test, features = _parts(spark, sf)
+    return train.score(train.fit(fit_on, features, LABEL, kind, params, "weight"), test).select(*KEY, LABEL, "failure_probability", "prediction")
 
 
 @query("model_lr")
@@ -185,13 +239,20 @@ def model_gbt(spark, sf):
 
 @query("experiment")
 def experiment(spark, sf):
-    return train.experiment(_frame(spark, sf), "logistic_regression", split={"gap": 1})[1]
+    """Two runs, appended to a log and read back: parameters, counts, ratio, hash of the data and metrics."""
+    log = work_dir(spark)
+    frame = _frame(spark, sf)[0]
+    train.experiment(frame, "logistic_regression", log=log, run_id="time_based")
+    train.experiment(frame, "decision_tree", params={"max_depth": 6}, split={"method": "stratified"}, log=log, run_id="stratified")
+    named = train.runs(spark, log)
+    return named.select("run_id", "model", "parameters", "imbalance_method", "n_train_samples", "n_validation_samples", "n_test_samples", "n_features",
+                        "class_imbalance_ratio", "dataset_hash", "dataset", F.col("metrics")["f1_score"].alias("f1_score"), F.col("metrics")["roc_auc"].alias("roc_auc"), "promote")
 
 
 @query("batch_scoring")
 def batch_scoring(spark, sf):
-    fit_on, test = _parts(spark, sf)
-    model = train.fit(fit_on, FEATURES, LABEL, "logistic_regression", weight="weight")
+    fit_on, test, features = _parts(spark, sf)
+    model = train.fit(fit_on, features, LABEL, "logistic_regression", weight="weight")
     path = work_dir(spark)
     model.write().overwrite().save(path + "-model")
     return train.batch_scoring(spark, train.load(path + "-model"), test, path, model_id="logistic_regression")
@@ -200,21 +261,39 @@ def batch_scoring(spark, sf):
 @query("tune")
 def tune(spark, sf):
     space = train.grid({"C": [0.1, 1.0], "max_iter": [50, 200]}, tries=3)
-    return train.tune(prepare.weighted(_frame(spark, sf), LABEL), FEATURES, LABEL, "logistic_regression", space, weight="weight")
+    frame, features = _frame(spark, sf)
+    return train.tune(frame, features, LABEL, "logistic_regression", space)
+
+
+@query("tune_bayesian")
+def tune_bayesian(spark, sf):
+    """Six trials of boosted trees in a space of 36, from a table that a restart goes on with."""
+    frame, features = _frame(spark, sf)
+    space = {"n_estimators": [3, 5, 8], "max_depth": [2, 3, 4], "learning_rate": [0.01, 0.05, 0.1, 0.3]}
+    return train.bayesian_search(frame, features, LABEL, "xgboost", work_dir(spark), 6, space, folds=3, start=3)
 
 
 @query("perm_importance")
 def perm_importance(spark, sf):
-    fit_on, test = _parts(spark, sf)
-    model = train.fit(fit_on, FEATURES, LABEL, "logistic_regression", weight="weight")
-    return train.permutation_importance(model, test, FEATURES, LABEL, KEY)
+    fit_on, test, features = _parts(spark, sf)
+    model = train.fit(fit_on, features, LABEL, "logistic_regression", weight="weight")
+    return train.permutation_importance(model, test, features, LABEL, KEY)
+
+
+@query("shap_importance")
+def shap_importance(spark, sf):
+    """The 20 features that add most to the scores of boosted trees, over all test rows."""
+    fit_on, test, features = _parts(spark, sf)
+    model = train.fit(fit_on, features, LABEL, "xgboost", {"n_estimators": 20, "max_depth": 4}, "weight")
+    return shap.shap_importance(model, test, features, KEY)
 
 
 @query("smote")
 def smote(spark, sf):
     """Class counts and means before and after adding synthetic rows."""
-    made = prepare.smote(_frame(spark, sf), FEATURES, LABEL, KEY)
-    return made.groupBy(LABEL, "is_synthetic").agg(F.count(F.lit(1)).alias("records"), *[F.avg(c).alias(f"mean_{c}") for c in FEATURES])
+    frame, features = _frame(spark, sf)
+    made = prepare.smote(frame, features, LABEL, KEY)
+    return made.groupBy(LABEL, "is_synthetic").agg(F.count(F.lit(1)).alias("records"), *[F.avg(c).alias(f"mean_{c}") for c in features])
 
 
 @query("resample", out("""
@@ -232,5 +311,5 @@ def resample(spark, sf):
 
 @query("iso_forest")
 def iso_forest(spark, sf):
-    frame = _frame(spark, sf).select(*KEY, *FEATURES)
-    return forest.score_forest(frame, FEATURES, forest.fit_forest(frame, FEATURES, KEY)).select(*KEY, "anomaly_score", "is_anomaly")
+    frame, features = _frame(spark, sf)
+    return forest.score_forest(frame.drop(LABEL), features, forest.fit_forest(frame, features, KEY)).select(*KEY, "anomaly_score", "is_anomaly")

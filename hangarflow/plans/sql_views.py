@@ -27,6 +27,13 @@ VIEWS = {
     "labeled": ("labeled1", """SELECT aircraft_id, date, cycle, temperature, vibration, pressure, rpm, altitude,
         ambient_temp, flight_hours, failed, days_to_failure,
         CASE WHEN days_to_failure <= 7 THEN 1 ELSE 0 END AS will_fail_7days FROM labeled1"""),
+    "history0": ("", """SELECT l_suppkey AS aircraft_id, l_shipdate::DATE AS date, avg(l_quantity) AS temperature, avg(l_discount * 100) AS vibration,
+        avg(l_extendedprice / 1000) AS pressure, avg(l_tax * 100) AS rpm, max(l_extendedprice) AS altitude, min(l_quantity) AS ambient_temp,
+        count(*)::DOUBLE AS flight_hours, max(CASE WHEN l_returnflag = 'R' AND l_quantity >= 45 THEN 1 ELSE 0 END) AS failed FROM lineitem GROUP BY 1, 2"""),
+    "history": ("history0", """SELECT *, CASE WHEN days_to_failure <= 7 THEN 1 ELSE 0 END AS will_fail_7days FROM (SELECT *,
+        (row_number() OVER (PARTITION BY aircraft_id ORDER BY date) - 1)::INTEGER AS cycle,
+        date_diff('day', date, min(CASE WHEN failed = 1 THEN date END) OVER (PARTITION BY aircraft_id ORDER BY date
+            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::INTEGER AS days_to_failure FROM history0)"""),
     "maintenance": ("readings", """SELECT id, aircraft_id, measurement_timestamp AS start_ts,
         CASE WHEN measurement_value >= 50 THEN 'corrective' ELSE 'preventive' END AS maintenance_type,
         measurement_value AS downtime_hours, measurement_value AS cost_usd,
