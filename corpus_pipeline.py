@@ -26,7 +26,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group (five-word shingles) stays, that of the least id, then text hash, null ids last; rows with the same id and text are one document."""
+    """One document of each group (five-word shingles) stays, that of the least id, then text hash, null ids last.
+
+    Rows with the same id and text are one document, whatever their other columns: the one that is first as JSON stays.
+    """
     judged = stored(minhash.judged(docs).select("doc_id", "v", "stays"))
     gone = stored(judged.where("NOT stays").select("doc_id", "v").distinct())
     twice = stored(judged.where("stays").groupBy("doc_id", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "v"))
@@ -35,8 +38,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     doc_id, text = (plain[names[docs.columns.index(n)]] for n in ("doc_id", "text"))
     same = lambda keys: doc_id.eqNullSafe(keys["doc_id"]) & (F.xxhash64(text) == keys["v"])
     kept = plain.join(gone, same(gone), "left_anti")
-    once = kept.join(twice, same(twice), "left_semi").dropDuplicates()
-    return kept.join(twice, same(twice), "left_anti").union(once).toDF(*docs.columns)
+    # Not as a set of rows: columns may be maps, which have no equality.
+    whole, order = F.struct(*names), F.to_json(F.struct(*[F.struct(n) for n in names]))
+    once = kept.join(twice, same(twice), "left_semi").groupBy(doc_id.alias("_id"), F.xxhash64(text).alias("_v")).agg(F.min_by(whole, order).alias("_row"))
+    return kept.join(twice, same(twice), "left_anti").union(once.select("_row.*")).toDF(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
