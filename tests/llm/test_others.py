@@ -167,6 +167,15 @@ def test_one_document_of_each_group_stays(spark):
     assert (9, c[1]) in kept and all(i == 7 for i, t in kept if t and t[0] in "bd")
 
 
+def test_rows_of_one_document_differ_elsewhere(spark):
+    """Columns that are maps, and copies that differ in their source: one row of each id and text stays, the same on every run."""
+    docs = spark.sql("""SELECT * FROM VALUES (1L, 'some words of a text here', 'b', map('k', 1)), (1L, 'some words of a text here', 'a', map('k', 2)), (1L, 'some words of a text here', 'a', null),
+        (2L, 'entirely other things are said', 'c', map()), (null, 'and one without id', null, map('z', 0)), (null, 'and one without id', 'x', map('z', 0)) AS t(doc_id, text, source, more)""")
+    runs = [sorted((r["doc_id"] or 0, r["source"] or "", str(r["more"])) for r in corpus_pipeline.near_duplicates(spark, d, "").collect()) for d in (docs, docs.repartition(5))]
+    assert runs[0] == runs[1] and [r[0] for r in runs[0]] == [0, 1, 2]
+    assert corpus_pipeline.near_duplicates(spark, docs, "").schema.names == ["doc_id", "text", "source", "more"]
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     assert 0 < out.count() < common.table(spark, SF, "documents").count()
