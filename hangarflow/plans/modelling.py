@@ -219,22 +219,22 @@ def _fit_and_score(spark, sf, kind, params=None):
 
 @query("model_lr")
 def model_lr(spark, sf):
-    return _fit_and_score(spark, sf, "logistic_regression")
+    return _fit_and_score(spark, sf, "logistic_regression", {"max_iter": 100})
 
 
 @query("model_dt")
 def model_dt(spark, sf):
-    return _fit_and_score(spark, sf, "decision_tree")
+    return _fit_and_score(spark, sf, "decision_tree", {"max_depth": 10})
 
 
 @query("model_rf")
 def model_rf(spark, sf):
-    return _fit_and_score(spark, sf, "random_forest", {"max_depth": 20, "min_samples_leaf": 2})
+    return _fit_and_score(spark, sf, "random_forest", {"n_estimators": 50, "max_depth": 10, "min_samples_leaf": 2})
 
 
 @query("model_gbt")
 def model_gbt(spark, sf):
-    return _fit_and_score(spark, sf, "xgboost")
+    return _fit_and_score(spark, sf, "xgboost", {"n_estimators": 30, "max_depth": 3})
 
 
 @query("experiment")
@@ -242,7 +242,7 @@ def experiment(spark, sf):
     """Two runs, appended to a log and read back: parameters, counts, ratio, hash of the data and metrics."""
     log = work_dir(spark)
     frame = _frame(spark, sf)[0]
-    train.experiment(frame, "logistic_regression", log=log, run_id="time_based")
+    train.experiment(frame, "logistic_regression", params={"max_iter": 50}, log=log, run_id="time_based")
     train.experiment(frame, "decision_tree", params={"max_depth": 6}, split={"method": "stratified"}, log=log, run_id="stratified")
     named = train.runs(spark, log)
     return named.select("run_id", "model", "parameters", "imbalance_method", "n_train_samples", "n_validation_samples", "n_test_samples", "n_features",
@@ -252,7 +252,7 @@ def experiment(spark, sf):
 @query("batch_scoring")
 def batch_scoring(spark, sf):
     fit_on, test, features = _parts(spark, sf)
-    model = train.fit(fit_on, features, LABEL, "logistic_regression", weight="weight")
+    model = train.fit(fit_on, features, LABEL, "logistic_regression", {"max_iter": 50}, "weight")
     path = work_dir(spark)
     model.write().overwrite().save(path + "-model")
     return train.batch_scoring(spark, train.load(path + "-model"), test, path, model_id="logistic_regression")
@@ -260,23 +260,23 @@ def batch_scoring(spark, sf):
 
 @query("tune")
 def tune(spark, sf):
-    space = train.grid({"C": [0.1, 1.0], "max_iter": [50, 200]}, tries=3)
+    space = train.grid({"C": [0.1, 1.0], "max_iter": [20, 40]}, tries=3)
     frame, features = _frame(spark, sf)
-    return train.tune(frame, features, LABEL, "logistic_regression", space)
+    return train.tune(frame, features, LABEL, "logistic_regression", space, folds=3)
 
 
 @query("tune_bayesian")
 def tune_bayesian(spark, sf):
-    """Six trials of boosted trees in a space of 36, from a table that a restart goes on with."""
+    """Four trials of boosted trees in a space of 36, from a table that a restart goes on with."""
     frame, features = _frame(spark, sf)
     space = {"n_estimators": [3, 5, 8], "max_depth": [2, 3, 4], "learning_rate": [0.01, 0.05, 0.1, 0.3]}
-    return train.bayesian_search(frame, features, LABEL, "xgboost", work_dir(spark), 6, space, folds=3, start=3)
+    return train.bayesian_search(frame, features, LABEL, "xgboost", work_dir(spark), 4, space, folds=2, start=2)
 
 
 @query("perm_importance")
 def perm_importance(spark, sf):
     fit_on, test, features = _parts(spark, sf)
-    model = train.fit(fit_on, features, LABEL, "logistic_regression", weight="weight")
+    model = train.fit(fit_on, features, LABEL, "logistic_regression", {"max_iter": 50}, "weight")
     return train.permutation_importance(model, test, features, LABEL, KEY)
 
 

@@ -1,5 +1,7 @@
 """Sources, sinks, table maintenance and the slowly changing dimension."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from hangarflow import bindings as B, rules, schemas
@@ -191,6 +193,19 @@ def retention(spark, sf):
     return kept.groupBy(F.year("l_shipdate").alias("year")).agg(F.count(F.lit(1)).alias("kept"), F.min("l_shipdate").alias("oldest"))
 
 
+@query("retention_partitions", out("""
+    SELECT strftime(l_shipdate, '%Y-%m') AS month, count(*) AS kept FROM lineitem WHERE strftime(l_shipdate, '%Y-%m') >= '1999-12' GROUP BY 1"""))
+def retention_partitions(spark, sf):
+    """The months before the retention limit go as whole folders of a table partitioned by month; no row is read for that."""
+    line = B.table(spark, sf, "lineitem").select("l_orderkey", F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+    path = work_dir(spark)
+    line.repartition("month").write.partitionBy("month").parquet(path)
+    days = files.retention_days("bronze.inventory_data")
+    limit = dt.date.fromisoformat(B.AS_OF_STOCK) - dt.timedelta(days=days)
+    tables.drop_partitions(spark, path, "month", limit.isoformat()[:7])
+    return spark.read.schema(line.schema).parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("kept"))
+
+
 @query("storage_tier", out("""
     SELECT CASE WHEN age <= 30 THEN 'hot' WHEN age <= 180 THEN 'warm' ELSE 'cold' END AS tier, count(*) AS records, sum(size)::BIGINT AS bytes
     FROM (SELECT date_diff('day', o_orderdate, DATE '2001-08-10') AS age, strlen(o_orderpriority) + strlen(o_orderstatus) + 32 AS size FROM orders)

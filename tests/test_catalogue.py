@@ -24,8 +24,7 @@ def test_equals_sql(spark, con, name):
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_gives_rows(spark, name):
     df = entry.queries()[name](spark, SF)
-    rows = df.collect()
-    assert df.columns and (rows or name.startswith(("model_", "batch", "perm")))
+    assert df.columns and df.collect()
 
 
 def test_entry_has_87_columns(spark):

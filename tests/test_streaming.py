@@ -104,6 +104,24 @@ def test_upsert_log(spark):
     assert spark.read.schema(stream.schema).parquet(path).count() == 2  # readers of the table alone don't see the log
 
 
+def test_dropped_partitions_are_not_read(spark):
+    """Old folders go by name alone: their files aren't even Parquet."""
+    import pathlib
+
+    from hangarflow.sources import tables
+
+    path = work_dir(spark)
+    rows = spark.range(40).select("id", F.date_add(F.lit("2024-01-28").cast("date"), (F.col("id") % 8).cast("int")).alias("day"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("kind"))
+    rows.union(spark.sql("SELECT 99L, cast(null AS date), 'a'")).write.partitionBy("kind", "day").parquet(path)
+    local = pathlib.Path(path.removeprefix("file:"))
+    for old in local.glob("kind=*/day=2024-01-*/*"):
+        old.write_bytes(b"no rows here")
+    assert tables.drop_partitions(spark, path, "day", "2024-02-01") == ["2024-01-28", "2024-01-29", "2024-01-30", "2024-01-31"]
+    left = spark.read.parquet(path)
+    assert left.count() == 21 and left.where("day < '2024-02-01'").count() == 0 and left.where("day IS NULL").count() == 1
+    assert tables.drop_partitions(spark, path, "day", "2024-02-01") == []
+
+
 def test_windows_end(spark):
     """Closed windows are appended once and leave the state; the final pass closes the rest; all equal the batch query."""
     batches = [[row(i, i * 0.25) for i in range(40)], [row(100 + i, 200 + i * 0.25, 2.0) for i in range(40)], [row(200, 400)], [row(201, 400.5)]]
