@@ -92,6 +92,33 @@ def anomaly_flag(df: DataFrame, value: str, by: str, contamination=rules.CONTAMI
         *df.columns, "anomaly_score", (F.col("anomaly_score") > F.col("_limit")).alias("is_anomaly"))
 
 
+def sensor_hours(readings: DataFrame, maintenance: DataFrame, keys=("aircraft_id", "sensor_id", "sensor_type"), by="aircraft_id",
+                 ts="measurement_timestamp") -> DataFrame:
+    """The hourly feature table, one row per aircraft, sensor and hour: values, rolling statistics, trends, rates, shape of
+    the last 24 hours, anomaly, operating hours of the aircraft so far and days since its last maintenance.
+
+    ``readings`` carry ``anomaly_score`` and ``is_anomaly``. Every part is reduced to sensor and hour, or to aircraft and hour, before it meets
+    the others, so the joins see hours, never readings.
+    """
+    keys = list(keys)
+    hour = F.date_trunc("hour", F.col(ts)).alias("feature_timestamp")
+    stats = windows.stat_features(readings, keys).drop("entropy")
+    trends = windows.trend_direction(readings, keys)
+    odd = readings.groupBy(*keys, hour).agg(F.max("anomaly_score").alias("anomaly_score"), F.bool_or("is_anomaly").alias("is_anomaly"))
+    at = [*keys, "feature_timestamp"]
+    table = windows.hourly_features(readings, keys).join(trends, at, "left").join(stats, at, "left").join(odd, at, "left")
+    # One row for each aircraft and hour, so a window holds calendar slots.
+    run = Window.partitionBy(by).orderBy("feature_timestamp").rowsBetween(Window.unboundedPreceding, 0)
+    used = readings.select(by, hour).distinct().withColumn("operating_hours_cumulative", F.count(F.lit(1)).over(run).cast("double"))
+    days = used.select(by, F.to_date("feature_timestamp").alias("day")).distinct()
+    served = maintenance.select(by, F.to_date("start_ts").alias("day"), F.to_date("start_ts").alias("_last")).distinct()
+    both = days.unionByName(served, allowMissingColumns=True).groupBy(by, "day").agg(F.max("_last").alias("_last"))
+    upto = Window.partitionBy(by).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    since = both.select(by, "day", F.datediff("day", F.last("_last", ignorenulls=True).over(upto)).alias("days_since_last_maintenance"))
+    context = used.withColumn("day", F.to_date("feature_timestamp")).join(since, [by, "day"], "left").drop("day")
+    return table.join(context, [by, "feature_timestamp"], "left")
+
+
 def aircraft_days(
     readings: DataFrame, maintenance: DataFrame, failures: DataFrame, fleet: DataFrame,
     thresholds=None, by="aircraft_id", high_risk=0.75,

@@ -105,10 +105,13 @@ def hourly_features(spark, sf):
     return windows.hourly_features(B.readings(spark, sf))
 
 
-@query("trend_direction", out("SELECT " + _K + ", feature_timestamp, " + ", ".join(
+_trends = ", ".join(
     f"CASE WHEN (value_current - first_value(value_current) OVER t{h}) / nullif(abs(first_value(value_current) OVER t{h}), 0) > 0.01 THEN 'increasing' "
     f"WHEN (value_current - first_value(value_current) OVER t{h}) / nullif(abs(first_value(value_current) OVER t{h}), 0) < -0.01 THEN 'decreasing' ELSE 'stable' END AS trend_{h}h"
-    for h in rules.TREND_WINDOWS) + " FROM hours WINDOW " + ", ".join(_win(h, f"t{h}") for h in rules.TREND_WINDOWS),
+    for h in rules.TREND_WINDOWS)
+
+
+@query("trend_direction", out(f"SELECT {_K}, feature_timestamp, {_trends} FROM hours WINDOW " + ", ".join(_win(h, f"t{h}") for h in rules.TREND_WINDOWS),
     ts="feature_timestamp", views="hours"))
 def trend_direction(spark, sf):
     return windows.trend_direction(B.readings(spark, sf))
@@ -150,6 +153,32 @@ def stat_features(spark, sf):
     return windows.stat_features(B.readings(spark, sf), keys=("sensor_type",))
 
 
+_SHAPE = ", ".join(_frame_stat(agg, 24) + f" AS {name}" for agg, name in (
+    ("CASE WHEN count(*) > 1 THEN stddev_samp(measurement_value) / avg(measurement_value) END", "coefficient_of_variation"),
+    ("CASE WHEN count(*) > 2 THEN skewness(measurement_value) END", "skewness"), ("CASE WHEN count(*) > 3 THEN kurtosis(measurement_value) END", "kurtosis")))
+
+
+@query("stat_features_sensor", out(f"""SELECT {_K}, feature_timestamp, {_SHAPE} FROM hours g""", dbl="coefficient_of_variation skewness kurtosis", ts="feature_timestamp", views="hours readings"))
+def stat_features_sensor(spark, sf):
+    """At the grain of aircraft, sensor and hour."""
+    return windows.stat_features(B.readings(spark, sf)).drop("entropy")
+
+
+_of_hour = "FROM flagged r WHERE r.sensor_id = g.sensor_id AND date_trunc('hour', r.measurement_timestamp) = g.feature_timestamp"
+
+
+@query("gold_hourly", out(f"""
+    SELECT {_K}, feature_timestamp, value_current, {_stats}, {_roc}, {_trends}, {_SHAPE}, (SELECT max(anomaly_score) {_of_hour}) AS anomaly_score, (SELECT bool_or(is_anomaly) {_of_hour}) AS is_anomaly,
+        (SELECT count(DISTINCT date_trunc('hour', measurement_timestamp)) FROM readings r WHERE r.aircraft_id = g.aircraft_id AND r.measurement_timestamp < g.feature_timestamp + INTERVAL 1 HOUR)::DOUBLE AS operating_hours_cumulative,
+        date_diff('day', (SELECT max(start_ts::DATE) FROM maintenance m WHERE m.aircraft_id = g.aircraft_id AND m.start_ts::DATE <= g.feature_timestamp::DATE), g.feature_timestamp::DATE)::INTEGER AS days_since_last_maintenance
+    FROM hours g WINDOW {", ".join(_win(h, f"t{h}") for h in rules.TREND_WINDOWS)}""",
+    dbl="value_current rate_of_change_1h rate_of_change_6h coefficient_of_variation skewness kurtosis anomaly_score operating_hours_cumulative " + " ".join(
+        f"value_mean_{h}h value_std_{h}h value_min_{h}h value_max_{h}h" for h in rules.HOURLY_WINDOWS), ts="feature_timestamp", views="hours readings flagged maintenance"))
+def gold_hourly(spark, sf):
+    """The whole feature table of sensors and hours."""
+    return gold.sensor_hours(_flagged(spark, sf), B.maintenance(spark, sf))
+
+
 # ---------------------------------------------------------- series and labels
 
 @query("utilisation", out("""
