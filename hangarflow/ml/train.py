@@ -229,13 +229,13 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     """
     placed = staged(prepare.numbered(df.select(*key, *features, label), key, seed, "_at"))
     n = placed.count()
-    giving = placed.select(F.col("_at").alias("_from"), F.struct(*features).alias("_p"))
-    mixed = placed.withColumn("_from", prepare.permuted(F.col("_at"), F.lit(max(1, n)), seed)).join(giving, "_from")
-    variants = [F.struct(F.lit("").alias("feature"), *[F.col(c).alias(c) for c in features])]
-    for f in features:
-        variants.append(F.struct(F.lit(f).alias("feature"), *[
-            (F.col(f"_p.{c}") if c == f else F.col(c)).alias(c) for c in features]))
-    wide = mixed.select(label, F.explode(F.array(*variants)).alias("v")).select(label, "v.*")
+    values = F.array(*[F.col(c).cast("double") for c in features])
+    giving = placed.select(F.col("_at").alias("_from"), values.alias("_p"))
+    mixed = placed.withColumn("_from", prepare.permuted(F.col("_at"), F.lit(max(1, n)), seed)).select(label, "_from", values.alias("_x")).join(giving, "_from")
+    # Variant 0 is the row as it is, variant i takes feature i from the other row.
+    each = mixed.select(label, "_x", "_p", F.explode(F.sequence(F.lit(0), F.lit(len(features)))).alias("_k"))
+    wide = each.select(label, F.get(F.array(F.lit(""), *map(F.lit, features)), F.col("_k")).alias("feature"),
+                       *[F.when(F.col("_k") == i, F.col("_p")[i - 1]).otherwise(F.col("_x")[i - 1]).alias(c) for i, c in enumerate(features, 1)])
     got = staged(evaluate.metrics(score(model, wide), label, prob=None, by="feature"))
     base = got.where("feature = ''").select(F.struct("accuracy", "f1_score").alias("b")).scalar()
     return got.where("feature <> ''").withColumn("_b", base).select(

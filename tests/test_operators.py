@@ -250,20 +250,6 @@ def test_kpi_on_empty_dimension(spark):
     assert row.total_aircraft == 0 and row.avg_failure_probability is None and row.urgent_part_orders == 0
 
 
-def test_neighbours_meet_bounded_candidates(spark):
-    """Recall against brute force, with 6 and 10 features; the candidates of a point don't grow with the rows."""
-    rng = random.Random(7)
-    for dims in (6, 10):
-        centres = [[rng.gauss(0, 3) for _ in range(dims)] for _ in range(8)]
-        pts = [(i, [c + rng.gauss(0, 1) for c in centres[i % 8]]) for i in range(400)]
-        df = spark.createDataFrame(pts, "id long, x array<double>")
-        got = {}
-        for r in prepare.neighbours(df, 5).collect():
-            got.setdefault(r.id, []).append(r.n_id)
-        right = sum(len(set(got[i]) & {j for _, j in sorted((math.dist(x, y), j) for j, y in pts if j != i)[:5]}) for i, x in pts)
-        assert all(len(set(v)) == 5 for v in got.values()) and right >= 0.8 * 5 * len(pts), (dims, right)
-
-
 def test_neighbours_are_exact(spark):
     """More points than a fixed number of candidates reaches; whole and part leaves, ties, missing coordinates, few points."""
     rng = random.Random(8)
