@@ -58,12 +58,6 @@ def stored(df: DataFrame, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write(df, *by))
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a stored table, asked of its file system."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this run has made under the shared work folder."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

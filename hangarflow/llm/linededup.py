@@ -123,10 +123,10 @@ _STRIP = r"regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
 
 @query("op10_line_dedup", rf"""
 WITH lines AS (
-  SELECT doc_id, rowid AS r, i AS k, string_split(coalesce(text, ''), chr(10))[i] AS line
-  FROM (SELECT doc_id, text, row_number() OVER () AS rowid FROM documents), unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS u(i)),
+  SELECT doc_id, d, rowid AS r, i AS k, string_split(coalesce(text, ''), chr(10))[i] AS line
+  FROM (SELECT doc_id, text, row_number() OVER () AS rowid, dense_rank() OVER (ORDER BY doc_id, text) AS d FROM documents), unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS u(i)),
 keyed AS (SELECT *, translate({_STRIP}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
-often AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
+often AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT d) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (SELECT key FROM often)) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE key NOT IN (SELECT key FROM often)), '')) AS kept_sha256
 FROM keyed GROUP BY r, doc_id

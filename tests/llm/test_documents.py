@@ -40,6 +40,16 @@ def test_line_dedup(spark):
     assert {r["n_chars"] for r in clean.where("doc_id = 0").collect()} == {len(next(k[3] for k in want if k[0] == 0))}
 
 
+def test_repeated_rows_are_one_document(spark, tmp_path):
+    """Ten copies of a row drop nothing, one text under ten ids does, a null id is an id; the SQL agrees."""
+    rows = [(1, "copied row")] * 10 + [(i, "ten ids\nown " + str(i)) for i in range(10, 19)] + [(None, "ten ids"), (None, "ten ids")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = Counter(tuple(r) for r in linededup.drop_frequent_lines(docs).select("_0", "_kept").collect())
+    assert kept == Counter([(1, "copied row")] * 10 + [(i, f"own {i}") for i in range(10, 19)] + [(None, "")] * 2)
+    assert compare(linededup.op10_line_dedup(spark, str(tmp_path)), duckdb_of(tmp_path), common.SQL["op10_line_dedup"]) is None
+
+
 def test_line_runs_are_compacted_and_skip_settled_lines(spark):
     runs = linededup.LineRuns(spark, min_docs=2, fan=2)
     batch = lambda *h: spark.createDataFrame([(bytes([x]),) for x in h], "h binary")
