@@ -30,6 +30,8 @@ from hangarflow.llm.common import pick, query, table, text_or_empty, tokenizer_f
 MOST_BYTES = 64_000_000
 #: Words whose ids a task remembers; beyond, it starts anew.
 REMEMBER = 150_000
+#: Texts whose ids and decoded text a worker holds at once.
+PIECE = 256
 #: White space of Unicode, which the pattern engine of the file's format knows as \s.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -170,8 +172,9 @@ def round_trip(spark: SparkSession, path: str | None = None):
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder, strings = Encoder(shared.value), shared.value["strings"]
         for texts in batches:
-            ids = [encoder(t or "") for t in texts]
-            yield pd.DataFrame({"ids": ids, "decoded": [decode_ids(i, strings) for i in ids]}, dtype=object)
+            for at in range(0, len(texts), PIECE):
+                ids = [encoder(t or "") for t in texts.iloc[at:at + PIECE]]
+                yield pd.DataFrame({"ids": ids, "decoded": [decode_ids(i, strings) for i in ids]}, dtype=object)
 
     return both
 
