@@ -178,6 +178,40 @@ def test_minhash_splits_long_lists(spark):
         assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
+def near_and_unlike(rng):
+    """Near copies of one text, of which those with most changes link with few or none, and texts that share some words by chance."""
+    base = [f"b{i}" for i in range(148)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for j in rng.sample(range(148), i % 12):
+            w[j] = f"x{i}_{j}"
+        rows.append((i, " ".join(w)))
+    return rows, [(1000 + i, " ".join(f"v{rng.randrange(14)}" for _ in range(60))) for i in range(300)]
+
+
+@pytest.mark.parametrize("part, most", ((0, 50), (1, 80)))
+def test_minhash_compares_no_large_group_pair_by_pair(spark, monkeypatch, part, most):
+    import random
+
+    rows = near_and_unlike(random.Random(8))[part]
+    sets = [minhash.shingles(t, 2) for _, t in rows]
+    group = list(range(len(rows)))
+    for i, s in enumerate(sets):
+        for j in range(i):
+            common_ = len(s & sets[j])
+            if 100 * common_ >= 80 * (len(s) + len(sets[j]) - common_) and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    want = {d: min(e for (e, _), h in zip(rows, group) if h == g) for (d, _), g in zip(rows, group)}
+    compared, agreeing = [], minhash.agreeing
+    monkeypatch.setattr(minhash, "agreeing", lambda pairs, *rest: compared.append(pairs.count()) or agreeing(pairs, *rest))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, width=2).collect()} == want
+    assert sum(compared) < most * len(rows), compared
+    if not part:
+        assert 1 < len(set(want.values())) < len(rows) // 2
+
+
 def test_components(spark):
     edges = [(i + 1, i) for i in range(20)] + [(40, 35), (40, 36), (41, 36), (50, 50)] + [(100 + i, 200) for i in range(30)]
     got = {r["node"]: r["component"] for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
