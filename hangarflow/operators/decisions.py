@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from hangarflow import rules
@@ -13,14 +15,19 @@ def contributions(readings: DataFrame, by="aircraft_id", ts="measurement_timesta
     """Top sensor types per aircraft-day by share (percent) of the summed signal, as JSON."""
     per = readings.groupBy(by, F.to_date(ts).alias("prediction_date"), "sensor_type").agg(F.sum(value).alias("v"))
     day = Window.partitionBy(by, "prediction_date")  # at most one row per sensor type
-    ranked = per.select(
-        by, "prediction_date", "sensor_type", F.round(100 * F.col("v") / F.sum("v").over(day) + 1e-9, 2).alias("share")
+    signal = per.withColumn("_all", F.sum("v").over(day))
+    # Of a day whose signal sums to 0 a share is NaN or infinite, as in the SQL answer; NaN ranks first.
+    none = F.when(F.col("v") > 0, F.lit(math.inf)).when(F.col("v") < 0, F.lit(-math.inf)).when(F.col("v").isNotNull(), F.lit(math.nan))
+    part = F.when(F.col("_all") == 0, none).otherwise(F.try_divide(100 * F.col("v"), F.col("_all")))
+    ranked = signal.select(
+        by, "prediction_date", "sensor_type", F.round(part + 1e-9, 2).alias("share")
     ).withColumn("_r", F.row_number().over(day.orderBy(F.desc("share"), "sensor_type"))).where(F.col("_r") <= top)
     item = F.struct(F.col("_r"), F.col("sensor_type").alias("sensor"), F.col("share").alias("contribution"))
     listed = ranked.groupBy(by, "prediction_date").agg(F.sort_array(F.collect_list(item)).alias("l"))
+    text = F.to_json(F.transform("l", lambda x: F.struct(x.sensor.alias("sensor"), x.contribution.alias("contribution"))))
     return listed.select(
         by, "prediction_date", F.col("l")[0]["sensor"].alias("most_likely_component"),
-        F.to_json(F.transform("l", lambda x: F.struct(x.sensor.alias("sensor"), x.contribution.alias("contribution")))).alias("contributing_sensors_json"),
+        F.regexp_replace(text, '"contribution":"(NaN|-?Infinity)"', '"contribution":$1').alias("contributing_sensors_json"),
     )
 
 

@@ -353,3 +353,14 @@ def test_full_run_from_files(spark):
     plain = gold.silver_daily(spark.read.schema(df.schema).option("header", True).csv(bronze))
     both = spark.read.parquet(silver)
     assert sorted(map(str, both.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_contributions_of_a_day_that_sums_to_zero(spark):
+    t = dt.datetime(2024, 1, 1, 10)
+    rows = [(1, t, "error", 0.0), (1, t, "rpm", 0.0), (2, t, "error", -2.0), (2, t, "rpm", 2.0), (3, t, "error", 1.0), (3, t, "rpm", 3.0), (4, t, "rpm", None)]
+    df = spark.createDataFrame(rows, "aircraft_id int, measurement_timestamp timestamp, sensor_type string, measurement_value double")
+    got = {r.aircraft_id: (r.most_likely_component, r.contributing_sensors_json) for r in decisions.contributions(df).collect()}
+    assert got[1] == ("error", '[{"sensor":"error","contribution":NaN},{"sensor":"rpm","contribution":NaN}]')
+    assert got[2] == ("rpm", '[{"sensor":"rpm","contribution":Infinity},{"sensor":"error","contribution":-Infinity}]')
+    assert got[3] == ("rpm", '[{"sensor":"rpm","contribution":75.0},{"sensor":"error","contribution":25.0}]')
+    assert got[4] == ("rpm", '[{"sensor":"rpm"}]')
