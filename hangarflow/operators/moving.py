@@ -10,12 +10,13 @@ overlap of the frames.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from hangarflow.operators.batched import entity_batches
 from hangarflow.operators.ordered import HOUR, names
 
 
@@ -51,7 +52,7 @@ def medians_of_frames(values: np.ndarray, low: np.ndarray, high: np.ndarray) ->
 def trailing_median(readings: DataFrame, asks: DataFrame, by: str | Sequence[str], ts: str, value: str, hours: int, out: str = "median") -> DataFrame:
     """(by, ts, out) for the distinct times of ``asks``: the median of the values in [ts - ``hours``, ts); times without one are left out.
 
-    A task holds the readings of one entity in two frame lengths. Null keys never meet, as in a join; NaN counts as the greatest value.
+    A task holds the readings of one entity in two frame lengths, or a batch of such chunks, which are solved together. Null keys never meet, as in a join; NaN counts as the greatest value.
     """
     by = names(by)
     span = hours * HOUR * 1_000_000
@@ -65,17 +66,22 @@ def trailing_median(readings: DataFrame, asks: DataFrame, by: str | Sequence[str
         asked.select(*by, "_chunk", "_t", F.lit(None).cast("double").alias("_v")).where(" AND ".join(f"`{c}` IS NOT NULL" for c in by)).withColumn("_ask", F.lit(True)),
         allowMissingColumns=True)
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_t", kind="stable")
-        ask = pdf["_ask"].notna().to_numpy()
-        t, v = pdf["_t"].to_numpy(np.int64), pdf["_v"].to_numpy(float)
-        times = t[ask]
-        low, high = np.searchsorted(t[~ask], times - span, "left"), np.searchsorted(t[~ask], times, "left")
-        keys = {c: [pdf[c].iloc[0]] * len(times) for c in by}
-        made = pd.DataFrame({**keys, "_t": times, out: medians_of_frames(v[~ask], low, high)})
-        return made[high > low]
+    fields = [*(asked.schema[c] for c in by), T.StructField("_t", T.LongType()), T.StructField(out, T.DoubleType())]
+    names_out = [f.name for f in fields]
 
-    kinds = dict(asked.dtypes)
-    solved = rows.groupBy(*by, "_chunk").applyInPandas(solve, ", ".join(f"`{c}` {kinds[c]}" for c in by) + f", _t long, `{out}` double")
+    def solve(table: pa.Table, new: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Many chunks at once, one after the other on a common scale: a frame never reaches beyond its own."""
+        ask = table["_ask"].combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+        t, chunk = table["_t"].to_numpy(), table["_chunk"].to_numpy()
+        place = (np.cumsum(new) - 1) * (4 * span) + (t - (chunk - 1) * span)
+        seen_at, times = place[~ask], place[ask]
+        low, high = np.searchsorted(seen_at, times - span, "left"), np.searchsorted(seen_at, times, "left")
+        v = table["_v"].to_numpy()[~ask]
+        some = high > low
+        asked_rows = table.filter(pa.array(ask)).filter(pa.array(some))
+        made = pa.Table.from_arrays([*(asked_rows[c] for c in by), asked_rows["_t"], pa.array(medians_of_frames(v, low, high)[some], pa.float64())], names=names_out)
+        yield from made.to_batches()
+
+    solved = entity_batches(rows, [*by, "_chunk"], "_t", solve, T.StructType(fields))
     zone = dict(asks.dtypes)[ts]
     return solved.select(*by, F.timestamp_micros("_t").cast(zone).alias(ts), out)

@@ -85,3 +85,23 @@ def test_empty(spark):
     assert cleaning.impute_context(df).collect() == []
     some = spark.createDataFrame([(1, None, dt.datetime(2024, 1, 1), None), (2, "a", dt.datetime(2024, 1, 1), None), (3, None, dt.datetime(2023, 12, 31), 1.0)], SCHEMA)
     assert {r["id"]: r["measurement_value"] for r in cleaning.impute_context(some).collect()} == {1: None, 2: None, 3: 1.0}
+
+
+@pytest.mark.parametrize("block", [7, 8192])
+def test_many_chunks_are_solved_together(spark, monkeypatch, block):
+    """Entities of a few readings share a batch; each still sees only its own, on both sides of midnight and of 1970."""
+    from hangarflow.operators import batched
+
+    monkeypatch.setattr(batched, "BLOCK", block)
+    rng = random.Random(4)
+    rows = [(f"s{i % 60}", dt.datetime(1969, 12, 30) + dt.timedelta(minutes=rng.randrange(6000)), rng.choice([None, 1.0, 2.0, rng.random()])) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, v double")
+    made = moving.trailing_median(df, df.where("v IS NULL"), "k", "t", "v", 24, "m")
+    assert "FlatMapGroups" not in made._jdf.queryExecution().executedPlan().toString()  # no call for each chunk
+    got = {(r.k, r.t): r.m for r in made.collect()}
+    want = {}
+    for k, t, v in rows:
+        own = [x for a, b, x in rows if a == k and x is not None and t - dt.timedelta(hours=24) <= b < t]
+        if v is None and own:
+            want[k, t] = statistics.median(own)
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-12 for x in want) and len(want) > 100
