@@ -73,3 +73,15 @@ def test_methods_stay_small_enough_to_be_compiled(spark):
     from hangarflow.session import configure
 
     assert int(configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000 and rules.WINDOWS_DAYS == [7, 14, 30]
+
+
+def test_a_kept_experiment_writes_its_rows_no_second_time(spark, monkeypatch):
+    from hangarflow.ml import train
+
+    seen, real = [], train.staged
+    monkeypatch.setattr(train, "staged", lambda df: (seen.append(df.columns), real(df))[1])
+    rng = random.Random(3)
+    data = [(i % 4, dt.date(2020, 1, 1) + dt.timedelta(days=i // 4), rng.random(), rng.random(), rng.randrange(2)) for i in range(400)]
+    df = spark.createDataFrame(data, "aircraft_id int, date date, a double, b double, will_fail_7days int")
+    made = [train.experiment(df, "logistic_regression", params={"max_iter": 5}, kept=k)[1].orderBy("dataset").collect() for k in (True, False)]
+    assert made[0] == made[1] and sum("a" in c for c in seen) == 1
